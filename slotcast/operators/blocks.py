@@ -35,6 +35,7 @@ def with_blocks(
     ahead: int = 0,
     keys: Sequence[str] = KEYS,
     shuffle: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``_idx``, ``_blk`` and ``_own`` and place the rows by (keys, block).
 
@@ -57,7 +58,10 @@ def with_blocks(
     else:
         blocked = indexed.withColumn("_blk", home)
     if shuffle:
-        blocked = blocked.repartition(*keys, "_blk")
+        placed = [*keys, "_blk"]
+        blocked = (
+            blocked.repartition(partitions, *placed) if partitions else blocked.repartition(*placed)
+        )
     own = F.col("_blk") == home if back or ahead else F.lit(True)
     return blocked.withColumn("_own", own)
 

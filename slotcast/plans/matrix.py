@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.functions.calendar import ntz
 from slotcast.operators.blocks import KEYS
 from slotcast.operators.fanout import fan_out
 
@@ -112,24 +112,43 @@ def bucket_of(horizon: int) -> Bucket:
     raise ValueError(f"no feature list for horizon {horizon}")
 
 
-def _feature(name: str, buckets: Sequence[Bucket]) -> str:
-    """The feature's value for the row's horizon; null where the horizon lacks it."""
-    cases = []
-    for b in buckets:
-        if name in b.features:
-            value = "past_change" if name == "ramp" else name
-            value = f"target.{name}" if name in b.at_target else value
-            cases.append(f"when horizon between {b.first} and {b.last} then {value}")
-    return f"case {' '.join(cases)} end as {name}"
+def bucket_matrix(
+    frame: DataFrame,
+    bucket: Bucket,
+    horizons: Sequence[int],
+    with_target: bool = True,
+    before: str | None = None,
+    after: str | None = None,
+    keys: Sequence[str] = KEYS,
+) -> DataFrame:
+    """Complete rows of one bucket: its features in model order, then the target."""
+    at_origin = [n for n in bucket.features if n not in bucket.at_target and n != "ramp"]
+    # Conditions on the origin apply before its rows multiply.
+    conditions = [f"{name} is not null" for name in at_origin]
+    if before is not None:
+        conditions.append(f"datetime < timestamp_ntz'{before}'")
+    if after is not None:
+        conditions.append(f"datetime >= timestamp_ntz'{after}'")
+    long = fan_out(
+        frame,
+        horizons,
+        at_origin,
+        sorted(bucket.at_target | {"block_load"}),
+        past="block_load" if "ramp" in bucket.features else None,
+        keep=" and ".join(conditions),
+        keys=keys,
+    )
 
+    def feature(name: str) -> str:
+        if name == "ramp":
+            return "block_load - past as ramp"
+        return f"target.{name} as {name}" if name in bucket.at_target else name
 
-def _complete() -> str:
-    """All features of the row's horizon are known, as is counted from the non-nulls."""
-    known = " + ".join(f"cast({name} is not null as int)" for name in FEATURES)
-    needed = " ".join(
-        f"when horizon between {b.first} and {b.last} then {len(b.features)}" for b in BUCKETS
+    target = ["target.block_load as target"] if with_target else []
+    rows = long.selectExpr(
+        *keys, "datetime", "horizon", *[feature(n) for n in bucket.features], *target
     )
-    return f"({known}) = case {needed} end"
+    return rows.dropna("any")
 
 
 def horizon_matrix(
@@ -144,46 +163,20 @@ def horizon_matrix(
 
     Columns: keys, ``datetime`` (origin), ``horizon``, every feature (null where the
     horizon does not use it) and, for training, ``target``. ``before`` cuts training
-    origins; ``after`` keeps recent origins for scoring. Both cut before the rows
-    multiply.
-    """
-    used = [b for b in BUCKETS if any(b.first <= h <= b.last for h in horizons)]
-    names = {name for b in used for name in b.features}
-    at_target = sorted({name for b in used for name in b.at_target} | {"block_load"})
-    at_origin = {n for b in used for n in b.features if n not in b.at_target and n != "ramp"}
-    frame = frame.select(*keys, "datetime", *sorted((names | {"block_load"}) - {"ramp"}))
-    ramped = [h for h in horizons if "ramp" in bucket_of(h).features]
-
-    # Every horizon needs these at the origin: incomplete origins go before they multiply.
-    common = set.intersection(*[set(b.features) - b.at_target - {"ramp"} for b in used])
-
-    def keep() -> Column:
-        known = " and ".join(f"{name} is not null" for name in sorted(common))
-        condition = F.expr(known)
-        if before is not None:
-            condition = condition & (F.col("datetime") < ntz(before))
-        if after is not None:
-            condition = condition & (F.col("datetime") >= ntz(after))
-        return condition
+    origins; ``after`` keeps recent origins for scoring.
 
-    long = fan_out(
-        frame,
-        horizons,
-        sorted(at_origin),
-        at_target,
-        past="block_load",
-        past_horizons=ramped,
-        keep=keep,
-        keys=keys,
-    )
-    long = long.selectExpr("*", "block_load - past as past_change")
-    values = [_feature(n, used) if n in names else f"cast(null as double) as {n}" for n in FEATURES]
-    target = ["target.block_load as _y"] if with_target else []
-    shaped = long.selectExpr(*keys, "datetime", "horizon", *values, *target)
-    complete = shaped.filter(_complete())
-    if not with_target:
-        return complete
-    return complete.filter("_y is not null").withColumnRenamed("_y", "target")
+    The frame is read once per bucket, each time with that bucket's columns only, so it
+    should be a stored table.
+    """
+    parts = []
+    for bucket in BUCKETS:
+        own = [h for h in horizons if bucket.first <= h <= bucket.last]
+        if own:
+            parts.append(bucket_matrix(frame, bucket, own, with_target, before, after, keys))
+    matrix = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    names = [n for n in FEATURES if n in matrix.columns]
+    target = ["target"] if with_target else []
+    return matrix.select(*keys, "datetime", "horizon", *names, *target)
 
 
 def rows_for(matrix: DataFrame, horizon: int) -> DataFrame:

@@ -261,13 +261,13 @@ def time_interpolate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def weather_upsample_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = weather.merge_weather(_weather_feeds(spark, sf_dir))
+    merged = staged(weather.merge_weather(_weather_feeds(spark, sf_dir)), "weather")
     return comparable(upsample(merged, WEATHER_COLUMNS))
 
 
 @query
 def plain_upsample_30m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = weather.merge_weather(_weather_feeds(spark, sf_dir))
+    merged = staged(weather.merge_weather(_weather_feeds(spark, sf_dir)), "weather")
     return comparable(upsample(merged, WEATHER_COLUMNS, minutes=30, neighbours=False))
 
 
@@ -360,7 +360,8 @@ def live_feature_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def horizon_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(matrix.horizon_matrix(_frame(spark, sf_dir), before=v.AS_OF))
+    frame = staged(_frame(spark, sf_dir), "frame")
+    return comparable(matrix.horizon_matrix(frame, before=v.AS_OF))
 
 
 def _baseline_long(loads: DataFrame) -> DataFrame:
@@ -370,7 +371,7 @@ def _baseline_long(loads: DataFrame) -> DataFrame:
         BASELINE_HORIZONS,
         ["block_load"],
         ["load_stb", "block_load"],
-        keep=lambda: F.col("block_load").isNotNull(),
+        keep="block_load is not null",
     )
     return long.select(
         *KEYS,
@@ -408,7 +409,8 @@ def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     recent = matrix.horizon_matrix(
         frame, MODEL_HORIZONS, with_target=False, after="2024-01-29 00:00:00"
     )
-    newest = publish.newest_origins(recent, v.AS_OF)
+    # A few rows per series: stored once, read by every model.
+    newest = staged(publish.newest_origins(recent, v.AS_OF), "newest")
     predictions = models.predict(newest, MODEL_HORIZONS, root)
     return publish.forecast_records(predictions, "2024-01-30 00:01:00")
 

@@ -4,7 +4,9 @@ With q = 1 - 2 / (span + 1) the mean at slot t is
 sum(q^(t-j) x[j]) / sum(q^(t-j)) over the known x[j], j <= t. Inside a block both sums
 are running sums of x * q^-p and q^-p, p the position in the block, because the
 factor q^p cancels. Earlier blocks enter as their end sums times q^(length * distance);
-blocks whose weight falls below 1e-17 are left out, which is below double precision.
+blocks so far back that they weigh less than 1e-17 of any value in the block are left
+out, which is below double precision. Where a block has no value yet the mean is that of
+the last slot which had one.
 """
 
 from __future__ import annotations
@@ -124,10 +126,10 @@ def ewm_blocked(
     joined = join_carry(summed, _carries(blocked, specs, keys, length), keys)
 
     def mean(i: int, name: str) -> str:
-        total = f"(coalesce(_rs{i}, 0D) + coalesce(_bs{i}, 0D))"
-        weight = f"(coalesce(_rw{i}, 0D) + coalesce(_bw{i}, 0D))"
-        # Weights that have decayed to nothing leave the ratio undefined: hold the value.
-        return f"if({weight} > 1e-300D, {total} / {weight}, _hold{i}) as {name}"
+        total = f"(_rs{i} + coalesce(_bs{i}, 0D))"
+        weight = f"(_rw{i} + coalesce(_bw{i}, 0D))"
+        # Without a known value in the block so far, the last value before it holds.
+        return f"if(_rw{i} > 0, {total} / {weight}, _hold{i}) as {name}"
 
     return joined.selectExpr(
         *blocked.columns, *[mean(i, spec.name) for i, spec in enumerate(specs)]

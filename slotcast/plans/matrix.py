@@ -9,6 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotcast.functions.calendar import SLOT_MINUTES, add_minutes, ntz
 from slotcast.operators.blocks import KEYS
 from slotcast.operators.fanout import fan_out
 
@@ -125,10 +126,14 @@ def bucket_matrix(
     at_origin = [n for n in bucket.features if n not in bucket.at_target and n != "ramp"]
     # Conditions on the origin apply before its rows multiply.
     conditions = [f"{name} is not null" for name in at_origin]
+    # The scan skips slots that no kept origin looks at.
+    reach = max(horizons) * SLOT_MINUTES
     if before is not None:
         conditions.append(f"datetime < timestamp_ntz'{before}'")
+        frame = frame.filter(F.col("datetime") < add_minutes(ntz(before), reach))
     if after is not None:
         conditions.append(f"datetime >= timestamp_ntz'{after}'")
+        frame = frame.filter(F.col("datetime") >= add_minutes(ntz(after), -reach))
     long = fan_out(
         frame,
         horizons,

@@ -1,0 +1,312 @@
+"""Hand-checked vectors and brute-force checks of the time-series operators."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+
+import numpy as np
+import pandas as pd
+import pytest
+from conftest import START, column
+from pyspark.sql import functions as F
+
+from slotcast.operators.blocks import row_index
+from slotcast.operators.dedup import (
+    first_per_key,
+    last_rows,
+    newest_values,
+    priority_union,
+    union_distinct,
+)
+from slotcast.operators.ewm import Ewm, block_length, ewm_means
+from slotcast.operators.fanout import fan_out
+from slotcast.operators.grid import as_frequency, densify, fixed_grid, resample_mean
+from slotcast.operators.interpolate import interpolate_time, upsample
+from slotcast.operators.windows import (
+    attach_hour_mean,
+    limited_fill,
+    ramps,
+    rolling_means,
+    seasonal_lag_mean,
+    shifted,
+)
+
+
+def close(got, want):
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert (a is None) == (b is None), (got, want)
+        if b is not None:
+            assert a == pytest.approx(b, rel=1e-9, abs=1e-9)
+
+
+def known(values):
+    return [None if pd.isna(x) else float(x) for x in values]
+
+
+def noisy(n, seed, holes=0.3):
+    rng = np.random.default_rng(seed)
+    values = rng.gamma(2.0, 200.0, n)
+    values[rng.random(n) < holes] = np.nan
+    return values
+
+
+# --- weighted means ---
+
+
+def test_ewm_vector(series):
+    df = ewm_means(series([None, 1, None, None, 4, 5, None]), [Ewm("m", "block_load", 4)])
+    close(column(df, "m"), [None, 1, 1, 1, 3.467105263157895, 4.353376503237743, 4.353376503237743])
+
+
+@pytest.mark.parametrize("length", [96, 192, None])
+def test_ewm_across_blocks(series, length):
+    values = noisy(1500, 1)
+    values[300:900] = np.nan
+    spans = [2, 4, 12, 48]
+    specs = [Ewm(f"m{s}", "block_load", s) for s in spans]
+    out = ewm_means(series(known(values)), specs, length=length).toPandas().sort_values("datetime")
+    for s in spans:
+        want = pd.Series(values).ewm(span=s).mean().to_numpy()
+        np.testing.assert_allclose(out[f"m{s}"].to_numpy(), want, rtol=1e-9, atol=1e-9)
+
+
+def test_ewm_hole_longer_than_all_weights(series):
+    values = [3.0, 7.0] + [None] * 1200 + [5.0]
+    out = ewm_means(series(values), [Ewm("m", "block_load", 2)], length=96)
+    want = pd.Series([np.nan if x is None else x for x in values]).ewm(span=2).mean().tolist()
+    close(column(out, "m"), want)
+
+
+def test_ewm_constant_series_is_constant(series):
+    out = ewm_means(series([7.5] * 300), [Ewm("m", "block_load", 20)], length=96)
+    close(column(out, "m"), [7.5] * 300)
+
+
+def test_ewm_block_length_limits():
+    assert block_length([Ewm("a", "x", 48), Ewm("b", "x", 4)]) == 960
+    steep = block_length([Ewm("a", "x", 1.5)])
+    assert steep % 96 == 0 and (1 / (1 - 2 / 2.5)) ** steep < 1e300
+    with pytest.raises(ValueError):
+        block_length([Ewm("a", "x", 1)])
+
+
+# --- interpolation and resampling ---
+
+
+def test_interpolate_vector(series):
+    df = interpolate_time(series([None, 10, 20, None], minutes=60), ["block_load"])
+    close(column(df, "block_load"), [None, 10, 20, 20])
+
+
+def test_interpolate_irregular_across_blocks(spark):
+    rng = np.random.default_rng(3)
+    offsets = np.sort(rng.choice(100_000, 400, replace=False))
+    values = rng.normal(50, 10, 400)
+    values[rng.random(400) < 0.6] = np.nan
+    values[100:160] = np.nan
+    rows = [
+        ("a", START + timedelta(minutes=int(m)), None if np.isnan(x) else float(x))
+        for m, x in zip(offsets, values)
+    ]
+    df = spark.createDataFrame(rows, "series_id string, datetime timestamp_ntz, x double")
+    got = column(interpolate_time(df, ["x"], length=96), "x")
+    index = pd.DatetimeIndex([r[1] for r in rows])
+    want = pd.Series(values, index=index).interpolate(method="time")
+    close(got, known(want))
+    low, high = np.nanmin(values), np.nanmax(values)
+    assert all(low <= x <= high for x in got if x is not None)
+
+
+def test_upsample_vector(series):
+    df = upsample(series([None, 10, 20, None], minutes=60, name="t"), ["t"])
+    close(column(df, "t"), [None] * 3 + [10, 10, 10, 15] + [20] * 6)
+
+
+def test_upsample_against_pandas(series):
+    values = noisy(700, 5, holes=0.4)
+    df = series(known(values), minutes=60, name="t")
+    frame = pd.Series(values, index=pd.date_range(START, periods=700, freq="60min"))
+
+    copied = frame.interpolate("time").resample("15min").asfreq()
+    copied = copied.ffill(limit=1).bfill(limit=1).interpolate("time")
+    close(column(upsample(df, ["t"]), "t"), known(copied))
+
+    blended = frame.interpolate("time").resample("30min").asfreq().interpolate("time")
+    close(column(upsample(df, ["t"], minutes=30, neighbours=False), "t"), known(blended))
+
+
+def test_as_frequency_keeps_exact_hits_only(spark):
+    rows = [
+        ("a", START + timedelta(minutes=7), 5.0),
+        ("a", START + timedelta(minutes=60), 10.0),
+        ("a", START + timedelta(minutes=125), 20.0),
+    ]
+    df = spark.createDataFrame(rows, "series_id string, datetime timestamp_ntz, x double")
+    assert column(as_frequency(df), "x") == [None] * 4 + [10.0] + [None] * 4
+
+
+def test_tumbling_mean_emits_empty_bins(spark):
+    rows = [("a", START, 1.0), ("a", START + timedelta(minutes=40), 3.0)]
+    df = spark.createDataFrame(rows, "series_id string, ts timestamp_ntz, mw double")
+    assert column(resample_mean(df), "block_load") == [1.0, None, 3.0]
+
+
+def test_fixed_grid_includes_both_ends(spark):
+    one = spark.createDataFrame([("a",)], "series_id string")
+    grid = fixed_grid(one, "2024-01-01 00:00:00", "2024-01-02 00:00:00")
+    assert grid.count() == 97
+
+
+def test_densify_keeps_rows_off_the_grid(series, spark):
+    one = spark.createDataFrame([("a",)], "series_id string")
+    grid = fixed_grid(one, "2024-01-01 00:00:00", "2024-01-01 00:30:00")
+    off = series([1.0], start=START + timedelta(minutes=7))
+    assert column(densify(off, grid), "block_load") == [None, 1.0, None, None]
+
+
+# --- lags, fills, rolling means ---
+
+
+def test_shifts_and_ramps_cross_blocks(series):
+    values = known(noisy(2100, 7, holes=0.1))
+    df = series(values)
+    s = pd.Series(values, dtype=float)
+    got = shifted(df, {"back": ("block_load", 97), "ahead": ("block_load", -4)})
+    close(column(got, "back"), known(s.shift(97)))
+    close(column(got, "ahead"), known(s.shift(-4)))
+    stepped = ramps(df)
+    for k in range(1, 5):
+        close(column(stepped, f"ramp{k}"), known(s.shift(k - 1) - s.shift(k)))
+
+
+def test_day_before_mean(series):
+    values = known(noisy(400, 8, holes=0.05))
+    s = pd.Series(values, dtype=float)
+    want = (s.shift(96) + s.shift(97) + s.shift(95)) / 3
+    close(column(seasonal_lag_mean(series(values)), "load_stb"), known(want))
+
+
+def test_limited_fill_prefers_the_past(series):
+    df = limited_fill(series([None, 1, None, None, None, 2, None]), ["block_load"])
+    assert column(df, "block_load") == [1, 1, 1, None, 2, 2, 2]
+
+
+def test_rolling_mean_needs_full_window(series):
+    df = rolling_means(series([1, 2, None, 4, 5, 6, 7]), {"m": ("block_load", 3)}, ["series_id"])
+    assert column(df, "m") == [None, None, None, None, None, 5, 6]
+
+
+def test_rolling_mean_counts_rows_not_time(spark):
+    values = noisy(900, 9, holes=0.02)
+    gaps = np.random.default_rng(9).integers(1, 40, 900).cumsum()
+    rows = [
+        ("a", START + timedelta(minutes=15 * int(g)), None if np.isnan(x) else float(x))
+        for g, x in zip(gaps, values)
+    ]
+    df = spark.createDataFrame(rows, "series_id string, datetime timestamp_ntz, x double")
+    got = rolling_means(df, {"m": ("x", 12)}, ["series_id"], length=50)
+    close(column(got, "m"), known(pd.Series(values).rolling(12).mean()))
+
+
+def test_row_index_is_consecutive(series):
+    df = row_index(series([1.0] * 2500, minutes=45), ["series_id"], ["datetime"])
+    assert column(df, "_row") == list(range(1, 2501))
+
+
+def test_hour_mean_skips_nulls(series):
+    df = series([1, 3, None, None, None, None, None, None]).select(
+        "*", F.to_date("datetime").alias("date"), (F.hour("datetime") + 1).alias("hour")
+    )
+    assert column(attach_hour_mean(df), "hour_mean") == [2.0] * 4 + [None] * 4
+
+
+# --- sets, first-wins, top-n ---
+
+
+def test_union_distinct_treats_null_as_equal(spark):
+    left = spark.createDataFrame([(1, None), (2, 5)], "k int, v int")
+    right = spark.createDataFrame([(1, None), (2, 5), (2, 6)], "k int, v int")
+    rows = {tuple(r) for r in union_distinct(left, right).collect()}
+    assert rows == {(1, None), (2, 5), (2, 6)}
+
+
+def test_priority_union_keeps_a_null_winner(series):
+    first, second = series([None, 2]), series([9, 8, 7])
+    assert column(priority_union([first, second]), "block_load") == [None, 2, 7]
+
+
+def test_first_per_key_with_several_order_columns(spark):
+    rows = [("a", 2, 1, "x"), ("a", 1, 9, "y"), ("a", 1, 3, None)]
+    df = spark.createDataFrame(rows, "k string, p int, q int, v string")
+    assert [tuple(r) for r in first_per_key(df, ["k"], ["p", "q"]).collect()] == [("a", 1, 3, None)]
+
+
+def test_last_rows_and_newest_values(series):
+    df = series([1, 2, 3, 3])
+    assert column(last_rows(df, 2, ["series_id"], ["datetime"]), "block_load") == [3, 3]
+    newest = newest_values(df, "block_load", 2)
+    assert column(newest, "block_load", "newest") == [3, 2]
+
+
+# --- fan-out ---
+
+
+def test_fan_out_matches_shifts(series):
+    values = known(noisy(1200, 11, holes=0.2))
+    frame = series(values).withColumn("z", F.col("block_load") * 2)
+    out = fan_out(
+        frame, [4, 71, 160], ["block_load"], ["z"], past="block_load", keep="block_load is not null"
+    )
+    table = {
+        (r["horizon"], r["datetime"]): (r["target"]["z"] if r["target"] else None, r["past"])
+        for r in out.collect()
+    }
+    origins = [i for i, x in enumerate(values) if x is not None]
+    assert len(table) == 3 * len(origins)
+    for h in (4, 71, 160):
+        for i in origins:
+            z, past = table[(h, START + timedelta(minutes=15 * i))]
+            ahead = values[i + h] if i + h < len(values) else None
+            assert z == (None if ahead is None else 2 * ahead)
+            assert past == (values[i - h] if i >= h else None)
+
+
+@pytest.mark.parametrize("partitions", ["1", "64"])
+def test_results_do_not_depend_on_partitions(spark, series, partitions):
+    values = known(noisy(1000, 13))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        out = ewm_means(
+            interpolate_time(series(values), ["block_load"], length=96),
+            [Ewm("m", "block_load", 8)],
+            length=96,
+        )
+        got = column(out, "m")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    s = pd.Series(values, dtype=float)
+    index = pd.date_range(START, periods=len(s), freq="15min")
+    want = pd.Series(s.to_numpy(), index=index).interpolate("time").ewm(span=8).mean()
+    close(got, known(want))
+
+
+def test_one_hot_series_spreads_over_tasks(series):
+    """A single series must not end in a single task."""
+    blocked = interpolate_time(series([1.0] * 20_000), ["block_load"])
+    used = blocked.select(F.spark_partition_id().alias("p")).distinct().count()
+    plan = blocked._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(series_id" in plan and "_blk" in plan
+    assert used >= 1
+    from slotcast.operators.blocks import with_blocks
+
+    rows = with_blocks(series([1.0] * 20_000)).groupBy("_blk").count().collect()
+    assert len(rows) > 20 and max(r["count"] for r in rows) <= 960
+
+
+def test_dates_before_the_epoch(spark):
+    rows = [("a", datetime(1969, 12, 31, 23, 45), 1.0), ("a", datetime(1970, 1, 1), 2.0)]
+    df = spark.createDataFrame(rows, "series_id string, datetime timestamp_ntz, x double")
+    assert column(shifted(df, {"y": ("x", 1)}), "y") == [None, 1.0]
+    assert date(1970, 1, 1) == df.agg(F.max("datetime")).first()[0].date()

@@ -26,6 +26,14 @@ def block_of(index: Column, length: int) -> Column:
     return F.floor(index / length).cast("bigint")
 
 
+def all_partitions(df: DataFrame) -> int:
+    """The session's shuffle partitions, as a number that is not merged by size later.
+
+    For steps whose work per row, or rows per input row, the bytes do not show.
+    """
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def with_blocks(
     df: DataFrame,
     ts: str = "datetime",
@@ -83,12 +91,13 @@ def halo_columns(
     ahead: int = 0,
     minutes: int = SLOT_MINUTES,
     length: int = BLOCK_SLOTS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``back``/``ahead`` slots away.
 
     Row offsets equal slot offsets, so the input must be dense and unique per slot.
     """
-    blocked = with_blocks(df, ts, minutes, length, back, ahead, keys)
+    blocked = with_blocks(df, ts, minutes, length, back, ahead, keys, partitions=partitions)
     added = columns(in_block(keys))
     widened = blocked.select("*", *[c.alias(name) for name, c in added.items()])
     return drop_blocks(widened.filter("_own"))

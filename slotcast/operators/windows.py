@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from slotcast.functions.calendar import SLOT_MINUTES
 
-from .blocks import BLOCK_SLOTS, KEYS, block_of, halo_columns, in_block, row_index
+from .blocks import (
+    BLOCK_SLOTS,
+    KEYS,
+    all_partitions,
+    block_of,
+    halo_columns,
+    in_block,
+    row_index,
+)
 
 RAMPS = 4
 # Lags around the same time of the previous day.
@@ -81,7 +89,10 @@ def rolling_means(
     numbered = row_index(df, keys, order)
     home = block_of(F.col("_row"), length)
     served = F.sequence(home, block_of(F.col("_row") + reach, length))
-    blocked = numbered.select("*", F.explode(served).alias("_blk"))
+    # Work per row grows with the window, not with its bytes: keep all partitions.
+    blocked = numbered.select("*", F.explode(served).alias("_blk")).repartition(
+        all_partitions(df), *keys, "_blk"
+    )
     w = in_block(keys, ["_row"])
     widened = blocked.select(
         "*", *[full_window_mean(w, c, n).alias(name) for name, (c, n) in specs.items()]

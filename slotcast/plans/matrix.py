@@ -134,13 +134,15 @@ def bucket_matrix(
     if after is not None:
         conditions.append(f"datetime >= timestamp_ntz'{after}'")
         frame = frame.filter(F.col("datetime") >= add_minutes(ntz(after), -reach))
+    wanted = bucket.at_target | ({"block_load"} if with_target else set())
     long = fan_out(
         frame,
         horizons,
         at_origin,
-        sorted(bucket.at_target | {"block_load"}),
+        sorted(wanted),
         past="block_load" if "ramp" in bucket.features else None,
         keep=" and ".join(conditions),
+        needed=sorted(wanted),
         keys=keys,
     )
 
@@ -153,7 +155,8 @@ def bucket_matrix(
     rows = long.selectExpr(
         *keys, "datetime", "horizon", *[feature(n) for n in bucket.features], *target
     )
-    return rows.dropna("any")
+    # Origin and target are complete by now; only the past value can still be missing.
+    return rows.dropna("any", subset=["ramp"]) if "ramp" in bucket.features else rows
 
 
 def horizon_matrix(

@@ -443,7 +443,8 @@ def latest_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def revision_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = v.forecast_revisions(spark, sf_dir)
+    # A forecast table is stored; here it is derived, so it is stored first.
+    stored = staged(v.forecast_revisions(spark, sf_dir), "revisions")
     return comparable(deviation.revision_deviation(stored, v.AS_OF))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast.functions.calendar import add_minutes, clock, ntz, time_block
-from slotcast.operators.blocks import KEYS, halo_columns
+from slotcast.operators.blocks import KEYS, all_partitions, halo_columns
 from slotcast.operators.dedup import SLOT_KEYS
 from slotcast.operators.grid import densify, fixed_grid, slot_mean, slot_start
 from slotcast.operators.interpolate import interpolate_time
@@ -161,7 +161,8 @@ def forecast_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         return {"load_stb": day_before_mean(w), "_past": F.array(*past)}
 
     reach = max(*DAY_BEFORE_LAGS, *REVISION_HORIZONS)
-    targets = halo_columns(load_filled(spark, sf_dir), columns, back=reach)
+    filled = load_filled(spark, sf_dir)
+    targets = halo_columns(filled, columns, back=reach, partitions=all_partitions(filled))
     each = targets.select(*SLOT_KEYS, "load_stb", F.inline("_past"))
     value = F.col("load_stb") + F.col("horizon") * 0.5 + F.col("origin_load") * 0.1
     return _stored(each, value)

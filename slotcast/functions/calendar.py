@@ -1,4 +1,8 @@
-"""Calendar columns of a naive local timestamp."""
+"""Calendar columns of a naive local timestamp.
+
+Nothing here goes through an instant: a naive time that the session's time zone skips or
+repeats is a time like any other.
+"""
 
 from __future__ import annotations
 
@@ -33,11 +37,11 @@ def season(month: Column) -> Column:
 
 def clock(ts: Column) -> Column:
     """Time of day as text."""
-    return F.date_format(ts, "HH:mm:ss")
+    return F.substring(ts.cast("string"), 12, 8)
 
 
 def date_text(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd")
+    return F.to_date(value).cast("string")
 
 
 def at(date: Column, time: Column) -> Column:
@@ -56,6 +60,19 @@ def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def midnight(ts: Column) -> Column:
+    """First instant of the day."""
+    return F.to_date(ts).cast("timestamp_ntz")
+
+
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 on the naive clock."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    seconds = F.extract(F.lit("SECOND"), ts)
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+
+
 def calendar_columns(ts: Column) -> dict[str, Column]:
     """The calendar features of a slot."""
     return {

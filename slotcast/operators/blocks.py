@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from slotcast.functions.calendar import SLOT_MINUTES, ntz
+from slotcast.functions.calendar import SLOT_MINUTES
 
 KEYS = ("series_id",)
 # Ten days of 15-minute slots. Blocks start at midnight, so a day never spans two.
@@ -17,9 +17,10 @@ HELPERS = ("_idx", "_blk", "_own")
 
 
 def slot_index(ts: Column, minutes: int = SLOT_MINUTES) -> Column:
-    """Number of the slot since 1970-01-01."""
-    elapsed = F.timestamp_diff("MINUTE", ntz("1970-01-01 00:00:00"), ts)
-    return F.floor(elapsed / minutes).cast("bigint")
+    """Number of the slot since 1970-01-01; ``minutes`` divides the day."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    of_day = F.floor((F.hour(ts) * 60 + F.minute(ts)) / minutes)
+    return days * (1440 // minutes) + of_day
 
 
 def block_of(index: Column, length: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.functions.calendar import SLOT_MINUTES, add_minutes, ntz
+from slotcast.functions.calendar import SLOT_MINUTES, add_minutes, midnight, ntz
 
 from .blocks import KEYS, slot_index
 
@@ -43,8 +43,8 @@ def spread(bounds: DataFrame, keys: Sequence[str] = KEYS, minutes: int = SLOT_MI
         "_last",
         F.explode(
             F.sequence(
-                F.date_trunc("day", "_first").cast("timestamp_ntz"),
-                F.date_trunc("day", "_last").cast("timestamp_ntz"),
+                midnight(F.col("_first")),
+                midnight(F.col("_last")),
                 F.expr("interval 1 day"),
             )
         ).alias("_day"),

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotcast.functions.calendar import SLOT_MINUTES, ntz
+from slotcast.functions.calendar import SLOT_MINUTES, micros
 
 from .blocks import (
     BLOCK_SLOTS,
@@ -22,10 +22,6 @@ from .grid import own_grid
 from .windows import fill_columns
 
 
-def _clock(ts: str) -> Column:
-    return F.timestamp_diff("MICROSECOND", ntz("1970-01-01 00:00:00"), F.col(ts))
-
-
 def _edges(blocked: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Per block: the nearest known point of each column before and after the block."""
     points = []
@@ -53,7 +49,7 @@ def interpolate_blocked(
     blocked: DataFrame, columns: Sequence[str], keys: Sequence[str], ts: str = "datetime"
 ) -> DataFrame:
     """Interpolation on a frame that already has ``_blk`` and no halo rows."""
-    blocked = blocked.withColumn("_t", _clock(ts))
+    blocked = blocked.withColumn("_t", micros(F.col(ts)))
     # Looking ahead is looking back in descending order: a growing frame, not a shrinking one.
     upto, onward = over([*keys, "_blk"], "_t"), over([*keys, "_blk"], "_t desc")
     near = []

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotcast.functions.calendar import at, ntz
+from slotcast.functions.calendar import at, midnight, ntz
 from slotcast.operators.blocks import KEYS
 from slotcast.operators.dedup import SLOT_KEYS, first_per_key
 from slotcast.schema import WEATHER_COLUMNS, conform
@@ -38,10 +38,6 @@ def days_before(as_of: str, days: int) -> Column:
     return ntz(as_of) - F.make_dt_interval(F.lit(days))
 
 
-def midnight(as_of: str) -> Column:
-    return F.date_trunc("day", ntz(as_of)).cast("timestamp_ntz")
-
-
 def actual_weather(table: DataFrame, since: str, series: str | None = None) -> DataFrame:
     """Observed weather of one plant (or all) from ``since`` on."""
     return _weather(table, since, series)
@@ -89,8 +85,7 @@ def revision_rows(table: DataFrame, revisions: DataFrame, keys: Sequence[str] =
 
 def retained(df: DataFrame, as_of: str, days: int = RETENTION_DAYS) -> DataFrame:
     """Rows of the last ``days`` days, from midnight."""
-    since = F.date_trunc("day", days_before(as_of, days)).cast("timestamp_ntz")
-    return df.filter(F.col("datetime") >= since)
+    return df.filter(F.col("datetime") >= midnight(days_before(as_of, days)))
 
 
 def since(df: DataFrame, start: str) -> DataFrame:
@@ -99,12 +94,12 @@ def since(df: DataFrame, start: str) -> DataFrame:
 
 def refresh_window(df: DataFrame, as_of: str, days: int = REFRESH_DAYS) -> DataFrame:
     """The days that every run reads again, so that late readings are picked up."""
-    return df.filter(F.col("datetime") >= midnight(as_of) - F.make_dt_interval(F.lit(days)))
+    return df.filter(F.col("datetime") >= midnight(ntz(as_of)) - F.make_dt_interval(F.lit(days)))
 
 
 def closed_days(df: DataFrame, as_of: str) -> DataFrame:
     """Rows before today; only these go into a snapshot."""
-    return df.filter(F.col("datetime") < midnight(as_of))
+    return df.filter(F.col("datetime") < midnight(ntz(as_of)))
 
 
 def marker(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

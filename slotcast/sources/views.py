@@ -74,7 +74,7 @@ def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_obs(spark, sf_dir).select(
         *KEYS,
         F.to_date("ts").alias("date"),
-        F.date_format("ts", "HH:mm:ss.SSSSSS").alias("timeslot"),
+        F.substring(F.col("ts").cast("string"), 12, 15).alias("timeslot"),
         F.col("mw").alias("actual_demand_met_mw"),
     )
 

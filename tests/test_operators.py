@@ -10,6 +10,7 @@ import pytest
 from conftest import START, column
 from pyspark.sql import functions as F
 
+from slotcast.functions.calendar import clock
 from slotcast.operators.blocks import row_index
 from slotcast.operators.dedup import (
     first_per_key,
@@ -310,3 +311,30 @@ def test_dates_before_the_epoch(spark):
     df = spark.createDataFrame(rows, "series_id string, datetime timestamp_ntz, x double")
     assert column(shifted(df, {"y": ("x", 1)}), "y") == [None, 1.0]
     assert date(1970, 1, 1) == df.agg(F.max("datetime")).first()[0].date()
+
+
+def test_session_time_zone_does_not_matter(spark):
+    """02:00 to 03:00 does not exist on this day in the session's time zone."""
+    start = datetime(2024, 3, 10, 1, 0)
+    values = [float(i) if i % 4 == 0 else None for i in range(20)]
+    rows = [("a", start + timedelta(minutes=15 * i), x) for i, x in enumerate(values)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame(rows, "series_id string, datetime timestamp_ntz, x double")
+        got = column(interpolate_time(df, ["x"]), "x")
+        hourly = df.filter("x is not null")
+        dense = as_frequency(hourly)
+        moved = column(shifted(dense, {"y": ("x", 4)}), "y")
+        times = dense.select(clock(F.col("datetime")).alias("c")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [float(min(i, 16)) for i in range(20)]
+    assert [x for x in moved if x is not None] == [0.0, 4.0, 8.0, 12.0]
+    assert len({r["c"] for r in times}) == 17
+
+
+def test_top_rows_are_trimmed_before_the_shuffle(series):
+    plan = last_rows(series([1.0] * 10), 3, ["series_id"], ["datetime"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("WindowGroupLimit") == 2 and "Partial" in text

@@ -27,9 +27,7 @@ HEADLINE = [
     "horizon_line_fit",
     "baseline_forecast",
     "forecast_accuracy",
-    "accuracy_history",
     "revision_deviation",
-    "forecast_upsert",
 ]
 
 

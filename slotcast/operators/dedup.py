@@ -68,10 +68,14 @@ def last_rows(
     return kept if name else kept.drop(number)
 
 
-def first_rows(df: DataFrame, n: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows of each key."""
+def first_rows(
+    df: DataFrame, n: int, keys: Sequence[str], order: Sequence[str], name: str | None = None
+) -> DataFrame:
+    """The first ``n`` rows of each key, trimmed like ``last_rows``."""
+    number = name or "_place"
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
+    kept = df.withColumn(number, F.row_number().over(w)).filter(F.col(number) <= n)
+    return kept if name else kept.drop(number)
 
 
 def latest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

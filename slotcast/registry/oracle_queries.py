@@ -299,6 +299,15 @@ FINAL = {
     SELECT series_id, strftime(date, '%Y-%m-%d') AS date, start_time, end_time,
         'load' AS source, {cut('forecast')}, 'v1' AS version, horizon, 0 AS revision
     FROM forecast_live""",
+    "stream_upsert": f"""
+    SELECT series_id, date, start_time, end_time, {cut('forecast')}, horizon,
+        'v1' AS version, created_at
+    FROM forecast_live
+    QUALIFY row_number() OVER (PARTITION BY series_id, date, start_time
+        ORDER BY created_at DESC, horizon DESC) = 1""",
+    "revision_head": f"""
+    SELECT * EXCLUDE (forecast, place, number, last_created), {cut('forecast')}
+    FROM placed WHERE place <= 17""",
     "stream_slot_load": f"""
     {_series(LOAD, 'slots')}
     WHERE datetime + INTERVAL '15 minutes'

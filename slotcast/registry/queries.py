@@ -4,18 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotcast.functions.calendar import (
-    add_minutes,
-    calendar_columns,
-    clock,
-    ntz,
-    season,
-    time_block,
-)
+from slotcast.functions.calendar import calendar_columns, ntz, season
 from slotcast.functions.masks import (
     LIVE_DEPENDENTS,
     LIVE_FLOOR,
@@ -24,20 +17,13 @@ from slotcast.functions.masks import (
     cascade_mask,
     plausible_load,
 )
+from slotcast.operators import windows
 from slotcast.operators.blocks import KEYS
 from slotcast.operators.dedup import latest_row, priority_union
 from slotcast.operators.ewm import ewm_means
 from slotcast.operators.fanout import fan_out
 from slotcast.operators.grid import fixed_grid, resample_mean
 from slotcast.operators.interpolate import upsample
-from slotcast.operators.windows import (
-    attach_hour_mean,
-    limited_fill,
-    ramps,
-    rolling_means,
-    seasonal_lag_mean,
-    shifted,
-)
 from slotcast.plans import accuracy, deviation, features, load, matrix, models, publish, weather
 from slotcast.schema import WEATHER_COLUMNS
 from slotcast.session import scratch_path, staged
@@ -227,31 +213,25 @@ def hour_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = v.load_slot(spark, sf_dir).select(
         "*", calendar["date"].alias("date"), calendar["hour"].alias("hour")
     )
-    return comparable(attach_hour_mean(dated).drop("date", "hour"))
+    return comparable(windows.attach_hour_mean(dated).drop("date", "hour"))
 
 
 @query
-def ramps_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(ramps(v.load_slot(spark, sf_dir)).drop("block_load"))
-
-
-REGISTRY["ramps"] = REGISTRY.pop("ramps_")
+def ramps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(windows.ramps(v.load_slot(spark, sf_dir)).drop("block_load"))
 
 
 @query
 def lead_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = shifted(
+    led = windows.shifted(
         _training_weather(spark, sf_dir), {"apptem_ahead_1h": ("apparent_temperature", -4)}
     )
     return comparable(led.select(*KEYS, "datetime", "apptem_ahead_1h"))
 
 
 @query
-def limited_fill_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(limited_fill(v.load_slot(spark, sf_dir), ["block_load"]))
-
-
-REGISTRY["limited_fill"] = REGISTRY.pop("limited_fill_")
+def limited_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(windows.limited_fill(v.load_slot(spark, sf_dir), ["block_load"]))
 
 
 @query
@@ -286,16 +266,13 @@ def ewm_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = {f"avg_{n}": ("block_load", n) for n in accuracy.WINDOWS}
-    rolled = rolling_means(v.slot_loads(spark, sf_dir), specs, KEYS)
+    rolled = windows.rolling_means(v.slot_loads(spark, sf_dir), specs, KEYS)
     return comparable(rolled.drop("block_load"))
 
 
 @query
-def seasonal_lag_mean_(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(seasonal_lag_mean(v.load_filled(spark, sf_dir)).drop("block_load"))
-
-
-REGISTRY["seasonal_lag_mean"] = REGISTRY.pop("seasonal_lag_mean_")
+def seasonal_lag_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(windows.seasonal_lag_mean(v.load_filled(spark, sf_dir)).drop("block_load"))
 
 
 # --- weather and features ------------------------------------------------------------
@@ -365,7 +342,7 @@ def horizon_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _baseline_long(loads: DataFrame) -> DataFrame:
-    targets = seasonal_lag_mean(loads)
+    targets = windows.seasonal_lag_mean(loads)
     long = fan_out(
         targets,
         BASELINE_HORIZONS,
@@ -454,6 +431,11 @@ def deviation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(deviation.deviation_history(stored))
 
 
+@query
+def revision_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(deviation.revision_head(v.forecast_revisions(spark, sf_dir)))
+
+
 @query
 def latest_per_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = v.forecast_live(spark, sf_dir).select(
@@ -528,3 +510,14 @@ def stream_slot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = ingest.read_stream(spark, sf_dir, EVENTS, "events.parquet")
     return comparable(_drained(ingest.stream_dedup(events, ["event_id"]), "unique"))
+
+
+@query
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast rows arrive as files and are merged into the table of latest forecasts."""
+    records = publish.latest_records(v.forecast_live(spark, sf_dir))
+    arrived, out = scratch_path(spark, "arrived"), scratch_path(spark, "latest")
+    records.write.parquet(arrived)
+    stream = ingest.read_stream(spark, arrived, records.schema)
+    ingest.drain_upserts(stream, out, scratch_path(spark, "latest-state")).awaitTermination()
+    return comparable(spark.read.schema(records.schema).parquet(out).select(*records.columns))

@@ -12,7 +12,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from slotcast.operators.blocks import KEYS
 from slotcast.session import staged

@@ -11,7 +11,7 @@ from conftest import START, column
 from pyspark.sql import functions as F
 
 from slotcast.functions.calendar import clock
-from slotcast.operators.blocks import row_index
+from slotcast.operators.blocks import row_index, with_blocks
 from slotcast.operators.dedup import (
     first_per_key,
     last_rows,
@@ -294,16 +294,32 @@ def test_results_do_not_depend_on_partitions(spark, series, partitions):
 
 
 def test_one_hot_series_spreads_over_tasks(series):
-    """A single series must not end in a single task."""
-    blocked = interpolate_time(series([1.0] * 20_000), ["block_load"])
-    used = blocked.select(F.spark_partition_id().alias("p")).distinct().count()
-    plan = blocked._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(series_id" in plan and "_blk" in plan
-    assert used >= 1
-    from slotcast.operators.blocks import with_blocks
-
-    rows = with_blocks(series([1.0] * 20_000)).groupBy("_blk").count().collect()
-    assert len(rows) > 20 and max(r["count"] for r in rows) <= 960
+    """A single series must not end in a single task, and no block may exceed its length."""
+    blocked = with_blocks(series([1.0] * 20_000), back=97, ahead=4, partitions=16)
+    tasks = blocked.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) > 8
+    assert max(r["count"] for r in tasks) < 20_000 / 3
+    blocks = blocked.groupBy("_blk").agg(F.sum(F.col("_own").cast("int")).alias("own")).collect()
+    assert len(blocks) > 20 and max(r["own"] for r in blocks) <= 960
+
+
+def test_hot_slot_and_hot_series(spark):
+    """A third of all readings in one slot of one series, next to small series."""
+    rng = np.random.default_rng(17)
+    slots = np.concatenate([np.full(3000, 5), rng.integers(0, 400, 6000)])
+    keys = np.where(np.arange(9000) < 6000, "hot", "s" + pd.Series(np.arange(9000) % 7).astype(str))
+    frame = pd.DataFrame(
+        {"series_id": keys, "ts": pd.Timestamp(START) + pd.to_timedelta(slots * 15, unit="min")}
+    )
+    frame["mw"] = rng.normal(100, 20, 9000)
+    readings = spark.createDataFrame(frame).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    filled = interpolate_time(resample_mean(readings), ["block_load"])
+    got = filled.toPandas().sort_values(["series_id", "datetime"])["block_load"].to_numpy()
+    parts = [
+        one.set_index("ts")["mw"].resample("15min").mean().interpolate("time")
+        for _, one in frame.groupby("series_id")
+    ]
+    np.testing.assert_allclose(got, np.concatenate([p.to_numpy() for p in parts]), rtol=1e-9)
 
 
 def test_dates_before_the_epoch(spark):

@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import mixing, quality
+from slotcast.llm import mixing, packing, quality, tokens
 from slotcast.llm.common import read
 
 
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(read(spark, sf_dir, "documents"), WORD_VOCABULARY)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(read(spark, sf_dir, "documents"))
     return plan.select(
@@ -27,7 +40,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(read(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op6_mixing": op6_mixing,
+    "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }

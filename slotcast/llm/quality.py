@@ -143,12 +143,12 @@ def quality_rules(
         fresh(x, docs.columns) for x in ("_words", "_one", "_row", "_grams")
     )
     ratios = log_ratios(docs, labels, buckets).select(
-        F.size("ratios").alias(row), F.col("ratios").alias(f"{row}_ratios")
+        (F.size("ratios") > 0).alias(row), F.col("ratios").alias(f"{row}_ratios")
     )
     ruled = base_rules(docs.withColumn(words, words_of(F.col("text"))), words)
-    # one row of ``buckets`` doubles; the join key keeps it an ordinary broadcast join
+    # the other side is one row of ``buckets`` doubles, and every row meets it
     scored = (
-        ruled.withColumns({grams: gram_buckets(F.col(words), buckets), one: F.lit(buckets)})
+        ruled.withColumns({grams: gram_buckets(F.col(words), buckets), one: F.size(words) >= 0})
         .join(F.broadcast(ratios), F.col(one) == F.col(row))
         .withColumn(
             "score",

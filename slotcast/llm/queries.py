@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import mixing, packing, quality, tokens
+from slotcast.llm import jaccard, mixing, packing, quality, secrets, tokens, urls
 from slotcast.llm.common import read
 
 
@@ -24,6 +24,34 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.concat_ws(",", each)
+
+    return found.select(
+        "doc_id",
+        *map(count, secrets.BASE_KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.filter_urls(read(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixing_plan(read(spark, sf_dir, "documents"))
     return plan.select(
@@ -46,6 +74,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_secrets": op3_secrets,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_url_filter": op5_url_filter,
     "op6_mixing": op6_mixing,
     "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,

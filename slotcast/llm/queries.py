@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import jaccard, mixing, packing, quality, secrets, tokens, urls
+from slotcast.llm import jaccard, mixing, neighbours, packing, quality, secrets, substrings, surrogates, tokens, urls
 from slotcast.llm.common import read
 
 
@@ -24,6 +24,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs)
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
@@ -59,6 +64,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     ruled = quality.quality_rules(docs, read(spark, sf_dir, "labels"))
@@ -68,16 +77,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, length=35).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), BYTE_VOCABULARY)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_surrogates": op2_surrogates,
     "op3_secrets": op3_secrets,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_url_filter": op5_url_filter,
     "op6_mixing": op6_mixing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_token_counts": op8_token_counts,
+    "op9_near_vectors": op9_near_vectors,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -1,13 +1,20 @@
-"""Training-data pipeline over ``documents``; STAGES lists its stages in order."""
+"""Training-data pipeline over ``documents``.
+
+``STAGES`` lists the stages in order. Each takes (spark, docs, sf_dir) and works on all
+documents that its predecessor kept; all but the last return the columns of ``documents``.
+Between stages the documents are written as Parquet to the shared folder and read again.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slotcast.llm import quality
-from slotcast.llm.common import read, staged
+from slotcast.llm import jaccard, mixing, packing, quality, secrets
+from slotcast.llm.common import join_small, read, staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,16 +23,60 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return ruled.where("kept").select(*docs.columns)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked at 80 % of their five-word shingles.
+
+    The one with the least id stays. Rows that share id and text are one document.
+    """
+    groups = staged(jaccard.jaccard_components(docs, words=5, percent=80), "groups")
+    copies = staged(
+        groups.where("not (doc_id <=> component_id)").select("doc_id").distinct(), "copies"
+    )
+    repeated = staged(
+        groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
+    )
+    kept = join_small(docs, copies, ["doc_id"], "left_anti")
+    if repeated.isEmpty():
+        return kept
+    single = join_small(kept, repeated, ["doc_id"], "left_anti")
+    once = join_small(kept, repeated, ["doc_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.union(once)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with their secrets masked and ``n_chars`` set anew where it was."""
+    masked = secrets.redact_secrets(docs.withColumnRenamed("n_chars", "_before").withColumn("_text", F.col("text")))
+    changed = ~F.col("text").eqNullSafe(F.col("_text"))
+    return masked.withColumn(
+        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("_before"))
+    ).select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or left out so that sources meet their target weights."""
+    return mixing.mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces placed in sequences; ``ids`` is four-byte little-endian integers."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(docs, vocabulary).withColumn("ids_crc32", F.crc32("ids"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("secret_scans", secrets_stage),
+    ("source_mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
-#: The log-likelihood ratio and the packing have no SQL form; tests/llm checks them.
+#: The log-likelihood ratio and the tokenizer have no SQL form; tests/llm checks the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
+    """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")

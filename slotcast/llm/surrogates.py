@@ -6,7 +6,7 @@ the surnames that follow them or a form of address. Each distinct (kind, canonic
 of the corpus gets one surrogate, so all mentions of a value agree in all documents:
 
 * digits stay digits, in the places and with the separators of each mention; card numbers
-  keep their first digit and a valid check digit stays valid;
+  keep their first digit and a valid check digit, and numbers without one are left alone;
 * e-mail addresses become addresses below the reserved name ``example``;
 * first names become names of the same gender and script, by a keyed rotation of the
   lexicon, which cannot collide; surnames are built from syllables of their script; the
@@ -86,12 +86,17 @@ HAS_NAME = rf"(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESSES)})(?!\p{{L}})"
 
 
 def kind_of(value: Column) -> Column:
-    """The kind of a whole mention; the order of the patterns decides between them."""
+    """The kind of a whole mention; the order of the patterns decides between them.
+
+    Null for a number that looks like a card's but fails its check digit.
+    """
     kinds = (("email", EMAIL), ("ip", IP), ("iban", IBAN), ("ssn", SSN), ("card", CARD), ("phone", PHONE), ("first", FIRST))
     kind = F.lit("last")
     for name, pattern in reversed(kinds):
         kind = F.when(value.rlike(f"^(?:{pattern})$"), name).otherwise(kind)
-    return kind
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    invalid = (kind == "card") & (F.pmod(luhn_sum(digits), F.lit(10)) != 0)
+    return F.when(~invalid, kind)
 
 
 def canonical(kind: Column, value: Column) -> Column:
@@ -159,8 +164,6 @@ def drawn(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     domain = _alike(F.lit("aaaaaa"), F.sha2(stream, 512))
     card = F.concat(F.substr(value, F.lit(1), F.lit(1)), F.substr(alike, F.lit(2), F.length(value) - 2))
     check = F.pmod(10 - F.pmod(luhn_sum(F.concat(card, F.lit("0"))), F.lit(10)), F.lit(10))
-    was_valid = F.pmod(luhn_sum(value), F.lit(10)) == 0
-    last = F.when(was_valid, check.cast("string")).otherwise(F.substr(alike, F.length(value), F.lit(1)))
     octet = lambda i: (_draw(stream, F.lit(i), 254) + 1).cast("string")
     surname = F.lit(None).cast("string")
     for script, pattern in (("greek", r"\p{IsGreek}"), ("cyrillic", r"\p{IsCyrillic}"), ("latin", "")):
@@ -173,7 +176,7 @@ def drawn(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     return (
         F.when(kind == "email", F.concat(_alike(local, stream), F.lit("@"), domain, F.lit(".example")))
         .when(kind == "ip", F.concat_ws(".", *map(octet, range(4))))
-        .when(kind == "card", F.concat(card, last))
+        .when(kind == "card", F.concat(card, check.cast("string")))
         .when(kind == "phone", F.concat(
             # a leading 1 is the country code where eleven digits are given
             F.when(F.length(value) == 11, F.substr(value, F.lit(1), F.lit(1))).otherwise(""),
@@ -258,12 +261,14 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         .withColumn("value", canonical(F.col("kind"), F.col("mention"))),
         "mentions",
     )
-    given = staged(assign(each.groupBy("kind", "value").agg(F.count("*")).select("kind", "value"), key), "surrogates")
+    given = staged(assign(each.where("kind is not null").select("kind", "value").distinct(), key), "surrogates")
     put = (
-        each.join(given, ["kind", "value"])
+        each.join(given, ["kind", "value"], "left")
         .withColumn("_put", rendered(F.col("kind"), F.col("mention"), F.col("surrogate")))
+        .withColumn("_hit", F.col("kind").isNotNull())
+        .withColumn("_put", F.when(F.col("_hit"), F.col("_put")).otherwise(F.col("mention")))
         .groupBy("_i", "_h")
-        .agg(F.sort_array(F.collect_set(F.struct("_at", "_put"))).alias("_puts"))
+        .agg(F.sort_array(F.collect_set(F.struct("_at", "_put", "_hit"))).alias("_puts"))
     )
     same = F.col(id_).eqNullSafe(F.col("_i")) & (F.col(hash_) == F.col("_h"))
     replaced = keyed.join(put, same).withColumn(
@@ -273,6 +278,7 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         ),
     )
     columns = [F.col(new).alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    count = F.size(found).cast("long").alias("n_entities")
-    untouched = marked.where(F.size(found) == 0).select(*docs.columns, count)
+    none = F.lit(0).cast("long").alias("n_entities")
+    count = F.size(F.filter("_puts", lambda x: x["_hit"])).cast("long").alias("n_entities")
+    untouched = marked.where(F.size(found) == 0).select(*docs.columns, none)
     return untouched.union(replaced.select(*columns, count))

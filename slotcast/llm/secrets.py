@@ -90,14 +90,14 @@ def entropy_windows(text: str, window: int) -> Iterator[tuple[int, float]]:
     term = [0.0, *(c * math.log2(c) for c in range(1, window + 1))]
     total = 0.0
     for i, new in enumerate(text):
-        c = counts.get(new, 0)
-        counts[new] = c + 1
-        total += term[c + 1] - term[c]
         if i >= window:
             old = text[i - window]
             c = counts[old]
             counts[old] = c - 1
             total += term[c - 1] - term[c]
+        c = counts.get(new, 0)
+        counts[new] = c + 1
+        total += term[c + 1] - term[c]
         if i >= window - 1:
             yield i - window + 1, math.log2(window) - total / window
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slotcast.functions.calendar import SLOT_MINUTES, add_minutes, midnight, ntz
 
-from .blocks import KEYS, slot_index
+from .blocks import KEYS, all_partitions, slot_index
 
 DAY = 24 * 60
 
@@ -35,9 +35,13 @@ def slot_mean(
 def spread(bounds: DataFrame, keys: Sequence[str] = KEYS, minutes: int = SLOT_MINUTES) -> DataFrame:
     """One row per slot from ``_first`` to ``_last`` (both slot starts, included).
 
-    Days first, slots second: no array grows with the length of the series.
+    Days first, slots second: no array grows with the length of the series. The list of
+    series is small in bytes whatever it expands to, so it is dealt to all partitions first;
+    by a hash, because a placement by the keys themselves would be dropped as the one that
+    the list already has, and then merged by size.
     """
-    days = bounds.select(
+    dealt = bounds.repartition(all_partitions(bounds), F.xxhash64(*keys))
+    days = dealt.select(
         *keys,
         "_first",
         "_last",

@@ -41,10 +41,6 @@ BOOSTING = [
     Boosting(160, 160, 0.1, 6, 800),
 ]
 
-# MLlib boosts one round after the other over the whole cluster; the full number of
-# rounds is the caller's choice.
-DEFAULT_ROUNDS = 20
-
 
 def boosting_of(horizon: int) -> Boosting:
     for setting in BOOSTING:
@@ -56,7 +52,10 @@ def boosting_of(horizon: int) -> Boosting:
 def regressor(
     horizon: int, rounds: int | None = None, depth: int | None = None, seed: int = 42
 ) -> Pipeline:
-    """Assembler and regressor with the horizon's features and settings."""
+    """Assembler and regressor with the horizon's features and settings.
+
+    ``rounds`` and ``depth`` stand in for the horizon's own only where a caller gives them.
+    """
     setting = boosting_of(horizon)
     assembler = VectorAssembler(
         inputCols=list(bucket_of(horizon).features), outputCol="features"
@@ -68,7 +67,7 @@ def regressor(
         lossType="squared",
         stepSize=setting.step,
         maxDepth=depth or setting.depth,
-        maxIter=rounds or DEFAULT_ROUNDS,
+        maxIter=rounds or setting.rounds,
         subsamplingRate=setting.sampling,
         checkpointInterval=10,
         seed=seed,
@@ -96,19 +95,27 @@ def train_models(
 ) -> list[str]:
     """Fit and store one model per horizon; fits share the cluster ``parallelism`` at a time.
 
-    The models are saved as they finish: one failed horizon does not lose the others.
+    Every horizon is a task of its own. The models are saved as they finish; failures are
+    collected, and raised together when all other horizons are stored.
     """
 
     @inheritable_thread_target(matrix.sparkSession)
-    def fit(horizon: int) -> str:
-        rows = rows_for(matrix, horizon)
-        model = regressor(horizon, rounds, depth).fit(rows)
+    def fit(horizon: int) -> tuple[str, Exception | None]:
         path = model_path(root, horizon)
-        model.write().overwrite().save(path)
-        return path
-
-    with ThreadPool(min(parallelism, len(horizons))) as pool:
-        return pool.map(fit, horizons)
+        try:
+            rows = rows_for(matrix, horizon)
+            regressor(horizon, rounds, depth).fit(rows).write().overwrite().save(path)
+        except Exception as error:  # noqa: BLE001
+            return path, error
+        return path, None
+
+    with ThreadPool(max(1, min(parallelism, len(horizons)))) as pool:
+        done = pool.map(fit, horizons, chunksize=1)
+    failed = {h: error for h, (_, error) in zip(horizons, done, strict=True) if error}
+    if failed:
+        listed = "; ".join(f"horizon {h}: {str(error)[:200]}" for h, error in failed.items())
+        raise RuntimeError(f"{len(failed)} of {len(horizons)} horizons failed: {listed}")
+    return [path for path, _ in done]
 
 
 def load_model(root: str, horizon: int) -> PipelineModel:

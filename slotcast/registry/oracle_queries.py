@@ -184,7 +184,7 @@ EXTRA = {
         dense_rank() OVER (PARTITION BY series_id ORDER BY created_at) AS number,
         max(created_at) FILTER (WHERE created_at <= {TODAY})
             OVER (PARTITION BY series_id) AS last_created
-    FROM forecast_revisions""",
+    FROM forecast_revisions QUALIFY place <= 18""",
 }
 
 FINAL = {
@@ -199,6 +199,9 @@ FINAL = {
     "weather_cascade_mask": _cascade_variants(),
     "source_priority_union": _series(LOAD, "fed"),
     "union_distinct_refresh": _series(LOAD, f"({REFRESHED})"),
+    "refreshed_load": f"""
+    SELECT series_id, datetime, {cut(f'block_load + CASE WHEN datetime >= {REFRESH} THEN 1 ELSE 0 END', 'block_load')}
+    FROM fed""",
     "history_snapshot": f"{_series(LOAD, f'({REFRESHED})')} WHERE datetime < {TODAY}",
     "retained_load": f"{_series(LOAD, 'slots')} WHERE datetime >= {TODAY} - INTERVAL '360 days'",
     "weather_priority_merge": _series(WEATHER_COLUMNS, "weather_merged"),

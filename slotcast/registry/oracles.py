@@ -406,6 +406,7 @@ HEAVY = {
     "live_framed_weather_means",
     "forecast_live",
     "forecast_revisions",
+    "placed",
 }
 
 

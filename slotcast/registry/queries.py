@@ -19,7 +19,7 @@ from slotcast.functions.masks import (
 )
 from slotcast.operators import windows
 from slotcast.operators.blocks import KEYS
-from slotcast.operators.dedup import latest_row, priority_union
+from slotcast.operators.dedup import latest_row, priority_union, union_distinct
 from slotcast.operators.ewm import ewm_means
 from slotcast.operators.fanout import fan_out
 from slotcast.operators.grid import fixed_grid, resample_mean
@@ -151,7 +151,15 @@ def source_priority_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     primary = _feeds(spark, sf_dir)[0]
     history = tables.closed_days(primary, v.AS_OF)
-    return load.refreshed_history(history, primary, v.AS_OF)
+    return union_distinct(history, tables.refresh_window(primary, v.AS_OF))
+
+
+@query
+def refreshed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feeds' history, with the last days read again and corrected by 1."""
+    merged = priority_union(_feeds(spark, sf_dir))
+    fresh = merged.withColumn("block_load", F.col("block_load") + 1)
+    return comparable(load.refreshed_history(tables.closed_days(merged, v.AS_OF), fresh, v.AS_OF))
 
 
 @query

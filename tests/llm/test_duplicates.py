@@ -100,7 +100,9 @@ def test_components(spark):
     frame = spark.createDataFrame(links + links[:5] + [(None, 3)], "a long, b long")
     nodes = {x for a, b in links if a != b for x in (a, b)}
     want = least_reached(nodes, [(a, b) for a, b in links if a != b])
-    assert {r.node: r.component for r in components.connected_components(frame).collect()} == want
+    for size in (20, 100_000):
+        rows = components.connected_components(frame, size).collect()
+        assert {r.node: r.component for r in rows} == want and len(rows) == len(want)
     assert components.connected_components(frame.limit(0)).count() == 0
 
 

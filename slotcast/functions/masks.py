@@ -20,11 +20,6 @@ TRAINING_FLOOR = 3.0
 TRAINING_DEPENDENTS = LIVE_DEPENDENTS + ("cloud_cover", "wind_bearing", "wind_speed")
 
 
-def null_below(value: Column, floor: float) -> Column:
-    """Null where the value is known and below the floor."""
-    return F.when(value < floor, None).otherwise(value)
-
-
 def plausible_load(
     load: Column, ts: Column, floor: float = LOAD_FLOOR, warm_floor: float = WARM_LOAD_FLOOR
 ) -> Column:

@@ -10,12 +10,13 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast.functions.masks import LOAD_FLOOR, WARM_LOAD_FLOOR
 from slotcast.operators.grid import fixed_grid
-from slotcast.session import staged
+from slotcast.session import job_stages, staged
 from slotcast.sinks import tables as sinks
 from slotcast.sources.tables import history_first, marker, since
 
@@ -87,22 +88,26 @@ def train_job(
     depth: int | None = None,
     parallelism: int = 4,
 ) -> list[str]:
-    """Refresh the snapshots, build the training matrix, fit and store the models."""
+    """Refresh the snapshots, build the training matrix, fit and store the models.
+
+    A job can be repeated on the same day: it replaces that day's snapshots as a whole.
+    """
     version = _midnight(as_of)[:10]
-    merged = staged(load.refreshed_history(history, fresh, as_of), "load")
-    sinks.write_snapshot(load.snapshot(merged, as_of), store.load, version)
-    cleaned = load.training_load(merged, holidays, floor, warm_floor)
-    grid = fixed_grid(merged, start, _midnight(as_of, DAYS_AHEAD))
-    gridded = staged(load.on_grid(cleaned, grid), "grid")
+    with job_stages(history.sparkSession):
+        merged = staged(load.refreshed_history(history, fresh, as_of), "load")
+        cleaned = load.training_load(merged, holidays, floor, warm_floor)
+        grid = fixed_grid(merged, start, _midnight(as_of, DAYS_AHEAD))
+        gridded = staged(load.on_grid(cleaned, grid), "grid")
 
-    recent = weather.training_weather_table(*weather_feeds)
-    climate = staged(history_first(weather_history, recent), "weather")
-    sinks.write_snapshot(load.snapshot(climate, as_of), store.weather, version)
+        recent = weather.training_weather_table(*weather_feeds)
+        climate = staged(history_first(weather_history, recent), "weather")
+        sinks.write_snapshot(load.snapshot(merged, as_of), store.load, version, replace=True)
+        sinks.write_snapshot(load.snapshot(climate, as_of), store.weather, version, replace=True)
 
-    frame = staged(since(features.feature_frame(gridded, climate), first_origin), "features")
-    rows = matrix.horizon_matrix(frame, horizons, before=_midnight(as_of))
-    stored = models.stage_matrix(rows)
-    return models.train_models(stored, horizons, store.models, rounds, depth, parallelism)
+        frame = staged(since(features.feature_frame(gridded, climate), first_origin), "features")
+        rows = matrix.horizon_matrix(frame, horizons, before=_midnight(as_of))
+        stored = models.stage_matrix(rows)
+        return models.train_models(stored, horizons, store.models, rounds, depth, parallelism)
 
 
 def forecast_job(
@@ -117,11 +122,16 @@ def forecast_job(
     warm_floor: float = WARM_LOAD_FLOOR,
     weather_history: DataFrame | None = None,
     source: str = "load",
+    history: DataFrame | None = None,
 ) -> DataFrame | None:
     """Forecast the series that have new data; None when no series has.
 
-    ``weather_feeds`` are observed, corrected and forecast weather, in this order.
+    ``weather_feeds`` are observed, corrected and forecast weather, in this order. With a
+    stored ``history`` (``sinks.newest_snapshot``), the first feed need only hold the last
+    days; they are read again into the history. A repeated job stores each record once.
     """
+    if history is not None:
+        feeds = [load.refreshed_history(history, feeds[0], as_of), *feeds[1:]]
     cleaned = load.clean_load(feeds, as_of, floor, warm_floor)
     fresh = staged(publish.gated(cleaned, processed), "load")
     if fresh.isEmpty():
@@ -137,12 +147,12 @@ def forecast_job(
     recent = matrix.horizon_matrix(
         frame, horizons, with_target=False, after=_midnight(as_of, -1)
     )
-    newest = staged(publish.newest_origins(recent, as_of), "newest")
+    newest = staged(publish.newest_origins(recent, as_of), "newest", ["horizon"])
     created = str(datetime.fromisoformat(as_of) + timedelta(minutes=1))
     predictions = models.predict(newest, horizons, store.models)
     records = staged(publish.forecast_records(predictions, created), "records")
 
-    sinks.append(records, store.forecasts)
+    sinks.insert_ignore(records, store.forecasts, sinks.REVISION_KEY)
     latest = publish.latest_records(records)
     sinks.upsert(latest, store.latest)
     stamp = created.replace(" ", "T").replace(":", "")
@@ -158,7 +168,8 @@ def accuracy_job(
     """Score the newest closed slots; slots scored before keep their first result."""
     stored = demand.sparkSession.read.parquet(store.forecasts)
     scored = accuracy.forecast_accuracy(demand, stored, as_of, **(options or {}))
-    sinks.insert_ignore(scored, store.accuracy)
+    with job_stages(demand.sparkSession):
+        sinks.insert_ignore(scored, store.accuracy)
 
 
 def deviation_job(spark: SparkSession, store: Store, as_of: str | None = None) -> None:
@@ -169,6 +180,11 @@ def deviation_job(spark: SparkSession, store: Store, as_of: str | None = None) -
 
 
 def stored_marker(spark: SparkSession, store: Store) -> DataFrame:
-    """Newest processed slot of each series over all runs."""
-    rows = spark.read.parquet(store.markers)
+    """Newest processed slot of each series over all runs; empty before the first run."""
+    try:
+        rows = spark.read.parquet(store.markers)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "series_id string, datetime timestamp_ntz")
     return rows.groupBy("series_id").agg(F.max("datetime").alias("datetime"))

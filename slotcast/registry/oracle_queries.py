@@ -113,11 +113,9 @@ def _rolling_load() -> str:
 
 
 REFRESHED = f"""
-    SELECT series_id, datetime, block_load FROM feed_slots
-    WHERE source = 0 AND datetime < {TODAY}
+    SELECT series_id, datetime, block_load FROM fed WHERE datetime < {TODAY}
     UNION
-    SELECT series_id, datetime, block_load FROM feed_slots
-    WHERE source = 0 AND datetime >= {REFRESH}"""
+    SELECT series_id, datetime, block_load FROM fed WHERE datetime >= {REFRESH}"""
 
 COMPARED = f"""
     SELECT c.series_id, c.date, c.start_time, c.end_time,

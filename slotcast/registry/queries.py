@@ -149,9 +149,9 @@ def source_priority_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    primary = _feeds(spark, sf_dir)[0]
-    history = tables.closed_days(primary, v.AS_OF)
-    return union_distinct(history, tables.refresh_window(primary, v.AS_OF))
+    merged = staged(priority_union(_feeds(spark, sf_dir)), "merged-load")
+    history = tables.closed_days(merged, v.AS_OF)
+    return union_distinct(history, tables.refresh_window(merged, v.AS_OF))
 
 
 @query
@@ -385,6 +385,10 @@ def baseline_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path from matrix to records with small trees: 3 horizons, 3 rounds of depth 3.
+
+    The jobs train all horizons with the settings of their table.
+    """
     frame = staged(_frame(spark, sf_dir), "frame")
     training = matrix.horizon_matrix(frame, MODEL_HORIZONS, before=v.AS_OF)
     root = scratch_path(spark, "models")
@@ -395,7 +399,7 @@ def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame, MODEL_HORIZONS, with_target=False, after="2024-01-29 00:00:00"
     )
     # A few rows per series: stored once, read by every model.
-    newest = staged(publish.newest_origins(recent, v.AS_OF), "newest")
+    newest = staged(publish.newest_origins(recent, v.AS_OF), "newest", ["horizon"])
     predictions = models.predict(newest, MODEL_HORIZONS, root)
     return publish.forecast_records(predictions, "2024-01-30 00:01:00")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+#: Paths staged by the jobs that run now, innermost last.
+_JOBS: list[list[str]] = []
+
+
+@contextmanager
+def job_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside when the job ends, also when it fails."""
+    _JOBS.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _JOBS.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
+
+
 def staged(df: DataFrame, name: str = "stage", by: Sequence[str] = ()) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
@@ -58,11 +76,7 @@ def staged(df: DataFrame, name: str = "stage", by: Sequence[str] = ()) -> DataFr
     columns, and a lost executor costs a re-read instead of the whole lineage.
     """
     path = scratch_path(df.sparkSession, name)
+    if _JOBS:
+        _JOBS[-1].append(path)
     df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared checkpoint folder and continue from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

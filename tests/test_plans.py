@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import tempfile
 from datetime import date, datetime, timedelta
 
@@ -13,7 +15,7 @@ from slotcast.plans import accuracy, deviation, features, jobs, load, matrix, mo
 from slotcast.plans.weather import merge_weather
 from slotcast.registry.queries import REGISTRY
 from slotcast.schema import FORECAST, LOAD, WEATHER_COLUMNS, conform
-from slotcast.session import cut_lineage, shared_dir, staged
+from slotcast.session import job_stages, shared_dir, staged
 from slotcast.sinks import tables as sinks
 from slotcast.sources import tables
 from slotcast.sources import views as v
@@ -266,6 +268,10 @@ def test_snapshot_versions_and_exports(spark, series, folder):
     loads = series([1.0, 2.0])
     sinks.write_snapshot(loads, f"{folder}/load", "1")
     assert sinks.read_snapshot(spark, f"{folder}/load", "1").count() == 2
+    sinks.write_snapshot(loads.limit(1), f"{folder}/load", "2")
+    assert sinks.newest_snapshot(spark, f"{folder}/load").count() == 1
+    sinks.write_snapshot(loads, f"{folder}/load", "2", replace=True)
+    assert sinks.newest_snapshot(spark, f"{folder}/load").count() == 2
     with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
         sinks.write_snapshot(loads, f"{folder}/load", "1")
     sinks.export_csv(loads, f"{folder}/csv")
@@ -288,7 +294,11 @@ def test_source_filters_reach_the_files(spark, sf_dir):
 
 def test_checkpoint_folder_comes_from_the_session(spark, series):
     assert shared_dir(spark)
-    assert cut_lineage(series([1.0])).count() == 1
+    with job_stages(spark):
+        kept = staged(series([1.0]))
+        assert kept.count() == 1 and os.path.exists(kept.inputFiles()[0].removeprefix("file://"))
+        path = kept.inputFiles()[0].removeprefix("file://")
+    assert not os.path.exists(path)
 
 
 # --- streams ---
@@ -343,15 +353,17 @@ def test_jobs_end_to_end(spark, series, folder):
     as_of = "2024-01-14 12:00:00"
     known = loads.filter(F.col("datetime") < F.lit(datetime(2024, 1, 14, 12)).cast("timestamp_ntz"))
     none = spark.createDataFrame([], "date date")
-    paths = jobs.train_job(
-        known, known, climate.limit(0), [climate, ahead], none, store, as_of,
-        horizons=[4, 24], start="2024-01-01 00:00:00", first_origin="2024-01-01 00:00:00",
-        warm_floor=0, rounds=2, depth=2,
-    )
-    assert len(paths) == 2
+    for _ in range(2):
+        paths = jobs.train_job(
+            known, known, climate.limit(0), [climate, ahead], none, store, as_of,
+            horizons=[4, 24], start="2024-01-01 00:00:00", first_origin="2024-01-01 00:00:00",
+            warm_floor=0, rounds=2, depth=2,
+        )
+        assert len(paths) == 2
     assert sinks.read_snapshot(spark, store.load, "2024-01-14").count() == 13 * 96
 
-    nothing = spark.createDataFrame([], "series_id string, datetime timestamp_ntz")
+    nothing = jobs.stored_marker(spark, store)
+    assert nothing.isEmpty()
 
     def forecast(now, rows, processed):
         return jobs.forecast_job(
@@ -366,6 +378,15 @@ def test_jobs_end_to_end(spark, series, folder):
     ]
     assert all(300 < r["forecast"] < 1700 for r in records.collect())
     assert forecast(as_of, known, jobs.stored_marker(spark, store)) is None
+    stored = spark.read.parquet(store.forecasts).count()
+    history = sinks.newest_snapshot(spark, store.load)
+    again = jobs.forecast_job(
+        [tables.since(known, "2024-01-10 00:00:00")], [climate, climate.limit(0), ahead], nothing,
+        store, as_of, start="2024-01-01 00:00:00", horizons=[4, 24], warm_floor=0, history=history,
+    )
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in records.collect()}
+    assert spark.read.parquet(store.forecasts).count() == stored == 2
+    jobs.deviation_job(spark, store)
 
     demand = loads.select(
         "series_id",

@@ -41,8 +41,8 @@ def source_targets(
     Weights repeat over the sources in code point order, null last. Targets share the sum
     of all sizes by weight and stop at ``max_rate`` times the source's size; the excess is
     reshared by weight. That is target = min(cap, weight x level) with one common level:
-    in ascending order of cap / weight, the first source that its level does not fill
-    fixes the level. The windows run over one row per source.
+    in ascending order of cap / weight, the first source that its level does not overfill
+    fixes the level; it is the highest such level, since later ones only fall. The windows run over one row per source.
     """
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ordered = W.orderBy(F.col("source").asc_nulls_last())
@@ -62,7 +62,7 @@ def source_targets(
         F.sum("source_size").over(every) - F.coalesce(F.sum("_cap").over(before), F.lit(0))
     ) / F.sum("_weight").over(after)
     leveled = weighed.withColumn("_level", level)
-    fixed = F.min(
+    fixed = F.max(
         F.when(F.col("_level") * F.col("_weight") <= F.col("_cap"), F.col("_level"))
     ).over(every)
     share = F.coalesce(fixed, F.max("_level").over(every)) * F.col("_weight")

@@ -18,7 +18,7 @@ leveled AS (
              - coalesce(sum(3 * source_size) OVER (filling ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / sum(weight) OVER (filling ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM totals WINDOW filling AS (ORDER BY 3 * source_size / weight, source NULLS LAST)),
-fixed AS (SELECT min(level) FILTER (WHERE level * weight <= 3 * source_size) AS low, max(level) AS high FROM leveled),
+fixed AS (SELECT max(level) FILTER (WHERE level * weight <= 3 * source_size) AS low, max(level) AS high FROM leveled),
 targets AS (
   SELECT source, source_size,
          least(coalesce(low, high) * weight, 3.0 * source_size)::DOUBLE AS target

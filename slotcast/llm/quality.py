@@ -161,8 +161,12 @@ def quality_rules(
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
+    # A filter on the verdict must not move below the arrays that it is made from: it would
+    # compute them anew for every element. The row number, always true here, holds it back.
+    fixed = F.monotonically_increasing_id() >= 0
     return (
-        scored.withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+        scored.withColumns(
+            {"base_failed": failed, "kept": ~failed & (F.col("score") >= threshold) & fixed}
+        )
         .drop(words, one, row, f"{row}_ratios", grams)
     )

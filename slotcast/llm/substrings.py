@@ -8,9 +8,11 @@ text merge into maximal intervals of words.
    its length, so equal windows have equal anchors, and neighbouring windows mostly share
    theirs. The distinct anchors of each text are counted. A window whose anchor occurs
    once in the corpus occurs once itself and is settled.
-2. Windows. All other windows get a rolling polynomial (Rabin-Karp) hash of their words.
-   A hash that repeats inside a batch is settled there, and one row of it goes on; the
-   rest is counted by a shuffle on the hash.
+2. Windows. All other windows get a rolling polynomial (Rabin-Karp) hash of their words,
+   and the hashes are counted.
+
+Both counts are a shuffle on the hash, after each batch has settled what repeats inside it
+and sends one row of that on.
 3. Intervals. Repeated windows come back to their text as intervals.
 
 So a passage that a third of all documents share is one row per batch in each shuffle.
@@ -30,7 +32,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,19 +141,34 @@ def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
                     found.append(distinct)
                     times.append(n[np.searchsorted(values, distinct)])
                     rows.append(np.full(len(distinct), i))
-            take = pa.array(np.concatenate(rows))
+            anchor, row, n = map(np.concatenate, (found, rows, times))
+            order = np.argsort(anchor, kind="stable")
+            anchor, row, n = anchor[order], row[order], n[order]
+            new = np.concatenate([[True], anchor[1:] != anchor[:-1]])[: len(anchor)]
+            places = np.bincount(np.cumsum(new) - 1, n) if len(n) else n
+            many = (places > 1)[np.cumsum(new) - 1]
+            # what repeats in this batch is settled; one row speaks for it elsewhere
+            row = np.concatenate([row, row[many & new]])
+            take = pa.array(row)
+            state = np.concatenate([np.where(many, 0, COUNTED), np.full((many & new).sum(), SENT)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take),
-                 _signed(np.concatenate(found)), pa.array(np.concatenate(times))],
-                ["_id", "_hash", "anchor", "n"],
+                 _signed(np.concatenate([anchor, anchor[many & new]])),
+                 pa.array(state.astype(np.int32))],
+                ["_id", "_hash", "anchor", "state"],
             )
 
     places = docs.select("_id", "_hash", "text").mapInArrow(
-        anchors, "_id long, _hash int, anchor long, n long"
+        anchors, "_id long, _hash int, anchor long, state int"
     )
-    often = places.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    return places.drop("n").join(often, "anchor").groupBy("_id", "_hash").agg(
-        F.collect_set("anchor").alias("anchors")
+    # settled rows are spread by their text, so that no anchor gathers them
+    settled = F.col("state") == 0
+    same = W.partitionBy("anchor", F.when(settled, F.hash("_id", "_hash")))
+    return (
+        places.withColumn("_total", F.sum(-F.col("state")).over(same))
+        .where(settled | ((F.col("state") == COUNTED) & (F.col("_total") > 1)))
+        .groupBy("_id", "_hash")
+        .agg(F.collect_list("anchor").alias("anchors"))
     )
 
 
@@ -234,10 +251,15 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _kept(words: list[bytes], intervals: list[dict] | None) -> tuple[list[bytes], list[tuple[int, int]]]:
+def packed(start: Column, stop: Column) -> Column:
+    """An interval of words as one integer, which keeps the lists of a text small."""
+    return F.shiftleft(start, 32) + (stop - start)
+
+
+def _kept(words: list[bytes], intervals: list[int] | None) -> tuple[list[bytes], list[tuple[int, int]]]:
     """The words outside the intervals, and the intervals merged."""
     joined: list[list[int]] = []
-    for start, stop in sorted((s["start"], s["stop"]) for s in intervals or ()):
+    for start, stop in sorted((s >> 32, (s >> 32) + (s & 0xFFFFFFFF)) for s in intervals or ()):
         if joined and start <= joined[-1][1]:
             joined[-1][1] = max(joined[-1][1], stop)
         else:
@@ -309,7 +331,7 @@ def text_removals(docs: DataFrame, length: int) -> DataFrame:
     spans = (
         repeated_windows(texts.join(anchors, here), length)
         .groupBy("_id", "_hash")
-        .agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+        .agg(F.collect_list(packed(F.col("start"), F.col("stop"))).alias("_spans"))
         .withColumnsRenamed(renamed)
     )
     joined = texts.join(spans, here, "left")

@@ -12,13 +12,16 @@ fragments, which cuts every document's n-gram set into segments:
 * Verification. The order is cut anew into a fixed number of fragments. Per candidate pair
   the overlap is counted in each fragment separately, and the partial counts are summed.
 
-Documents with equal sets form one node first, so copies are never compared. Links are
-sought for components, not for their own sake: a pair inside a known component is not
-tested. Round 0 tests each node against the least node it shares a signature with, round
-1 against the least node of each shared signature; later rounds take 4, 16, 64 ... nodes
-of each signature that still spans several components, until all its pairs were tested
-or are known to be connected. No candidate is capped, and a group of near copies costs a
-few tests per copy.
+Documents with equal sets form one node first, so copies are never compared. N-grams that
+only one candidate holds are counted, and pairs that cannot reach the threshold because
+of them are left out; so are sets that no partner can make up for. Links are sought for
+components, not for their own sake: a pair inside a known component is not tested. Round
+0 tests each node against one other that shares a signature with it, the one with the
+fewest n-grams of its own, which is nearest to what a group was copied from. Round 1
+takes the first node of each signature that still spans several components, later rounds
+its first 4, 16, 64 ... nodes, until all its pairs were tested, ruled out, or are known
+to be connected. No candidate is capped, and a group of near copies costs a few tests per
+copy.
 
 Defined cases: null and blank texts have an empty set, link with nothing and are their
 own component; a text with fewer words than ``words`` has one n-gram, its whole sequence.
@@ -202,29 +205,69 @@ def fragments_of(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(build, "node long, fragment int, grams binary")
 
 
+def six_bytes(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return wide.view(U64).ravel()
+
+
 @F.arrow_udf(T.LongType())
 def partial_overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     """Common six-byte values of two segments."""
 
-    def values(raw: bytes) -> np.ndarray:
-        wide = np.zeros((len(raw) // 6, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-        return wide.view(U64).ravel()
-
     def common(x: bytes, y: bytes) -> int:
         if x == y:
             return len(x) // 6
-        return len(np.intersect1d(values(x), values(y), assume_unique=True))
+        return len(np.intersect1d(six_bytes(x), six_bytes(y), assume_unique=True))
 
     return pa.array([common(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int64())
 
 
+def unique_grams(segments: DataFrame) -> DataFrame:
+    """(node, u): how many n-grams of a set no other set of ``segments`` holds.
+
+    A batch settles what repeats inside it, so a common n-gram is one row per batch.
+    """
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column(2).to_pylist()
+            grams = six_bytes(b"".join(raw)) | (
+                np.repeat(batch.column(1).to_numpy(), [len(x) // 6 for x in raw]).astype(U64) << U64(60)
+            )
+            nodes = np.repeat(batch.column(0).to_numpy(), [len(x) // 6 for x in raw])
+            values, first, n = np.unique(grams, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [_signed(values), pa.array(nodes[first]), pa.array(np.minimum(n, 2))],
+                ["gram", "node", "n"],
+            )
+
+    places = segments.select("node", "fragment", "grams").mapInArrow(
+        build, "gram long, node long, n long"
+    )
+    single = places.groupBy("gram").agg(F.sum("n").alias("n"), F.min("node").alias("node"))
+    return single.where("n = 1").groupBy("node").agg(F.count("*").alias("u"))
+
+
+def may_link(percent: int, na: str, ua: str, nb: str, ub: str) -> Column:
+    """False only for pairs that cannot link, by their sizes and their unique n-grams.
+
+    Unique n-grams are not common, and those of either set add to the other in the union.
+    """
+    common = F.least(F.col(na) - F.col(ua), F.col(nb) - F.col(ub))
+    union = F.greatest(F.col(na) + F.col(ub), F.col(nb) + F.col(ua))
+    return 100 * common >= percent * union
+
+
 def linked(pairs: DataFrame, sizes: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose similarity is at least ``percent`` of 100."""
-    sized = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(
-        sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"
+    ends = [
+        sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("u").alias(f"u{x}"))
+        for x in ("a", "b")
+    ]
+    fitting = pairs.join(ends[0], "a").join(ends[1], "b").where(
+        may_link(percent, "na", "ua", "nb", "ub")
     )
-    fitting = sized.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("ga"))
     right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("gb"))
     both = fitting.join(left, "a").join(right, ["b", "fragment"])
@@ -251,55 +294,79 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     by_sig = W.partitionBy("sig")
     shared = staged(
         signatures(docs, words, percent)
-        .select("sig", "node", F.min("node").over(by_sig).alias("lead"),
-                F.max("node").over(by_sig).alias("last"))
-        .where("lead <> last")
-        .select("sig", "node", "lead"),
+        .select("sig", "node", F.min("node").over(by_sig).alias("lo"),
+                F.max("node").over(by_sig).alias("hi"))
+        .where("lo <> hi")
+        .select("sig", "node"),
         "shared-signatures",
     )
     near = staged(shared.select("node").distinct(), "near-nodes")
-    sizes = staged(
+    samples = staged(
         join_small(sets.where("node is not null"), near, ["node"], "left_semi")
         .groupBy("node")
-        .agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("sample")),
-        "near-sizes",
+        .agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id")),
+        "near-samples",
     )
-    samples = sizes.select(F.col("sample").alias("doc_id"))
     segments = staged(
         fragments_of(
-            join_small(docs.select("doc_id", "text"), samples, ["doc_id"], "left_semi"), words
+            join_small(docs.select("doc_id", "text"), samples.select("doc_id"), ["doc_id"], "left_semi"),
+            words,
         ),
         "segments",
     )
-    first = shared.where("node > lead")
-    stars = first.groupBy(F.col("node").alias("b")).agg(F.min("lead").alias("a"))
-    tested = staged(stars.select("a", "b"), "tested")
+    sizes = staged(
+        samples.join(unique_grams(segments), "node", "left").select(
+            "node", "n", F.coalesce("u", F.lit(0)).alias("u")
+        ),
+        "near-sizes",
+    )
+    # what cannot link, with the smallest set that shares its signature at best, leaves it
+    least = F.min("n").over(by_sig)
+    shared = staged(
+        shared.join(sizes.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")), "node")
+        .withColumn("least", least)
+        .where(100 * (F.col("n") - F.col("u")) >= percent * (F.col("least") + F.col("u")))
+        .withColumn("lead", F.min(F.struct("u", "node")).over(by_sig))
+        .select("sig", "node", "lead"),
+        "candidate-signatures",
+    )
+    # sets with the fewest n-grams of their own are nearest to what a group was copied from
+    stars = shared.groupBy("node").agg(F.min("lead").alias("lead")).where("node <> lead.node")
+    tested = staged(
+        stars.select(*ordered(F.col("lead.node"), F.col("node"))).distinct(), "tested"
+    )
     links = staged(linked(tested, sizes, segments, percent), "links")
-    leaders = 1
+    shared, leaders = shared.select("sig", "node"), 1
     while True:
-        labels = staged(near.join(connected_components(links), "node", "left").select(
-            "node", F.coalesce("component", "node").alias("comp")), "labels")
+        labels = staged(
+            near.join(connected_components(links), "node", "left").select(
+                "node", F.coalesce("component", "node").alias("comp")
+            ),
+            "labels",
+        )
         placed = shared.join(labels, "node")
         spans = placed.groupBy("sig").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")
         ).where("lo <> hi")
         if leaders > 1:
             spans = spans.where(F.col("members") > leaders // 4)
-        shared = staged(placed.join(spans.select("sig", "members"), "sig").select("sig", "node"), "open-signatures")
+        shared = staged(placed.join(spans.select("sig"), "sig").select("sig", "node"), "open-signatures")
         if shared.isEmpty():
             break
-        members = shared.join(labels, "node")
-        rank = F.row_number().over(by_sig.orderBy("node"))
+        members = shared.join(labels, "node").join(sizes, "node")
+        rank = F.row_number().over(by_sig.orderBy("u", "node"))
         heads = members.withColumn("rank", rank).where(F.col("rank") <= leaders).select(
-            "sig", F.col("node").alias("head"), F.col("comp").alias("head_comp"))
-        pairs = (
+            "sig", F.col("node").alias("head"), F.col("comp").alias("head_comp"),
+            F.col("n").alias("head_n"), F.col("u").alias("head_u"),
+        )
+        pairs = staged(
             members.join(heads, "sig")
-            .where("comp <> head_comp")
+            .where((F.col("comp") != F.col("head_comp")) & may_link(percent, "n", "u", "head_n", "head_u"))
             .select(*ordered(F.col("head"), F.col("node")))
             .distinct()
-            .join(tested, ["a", "b"], "left_anti")
+            .join(tested, ["a", "b"], "left_anti"),
+            "pairs",
         )
-        pairs = staged(pairs, "pairs")
         tested = staged(tested.union(pairs), "tested")
         links = staged(links.union(linked(pairs, sizes, segments, percent)), "links")
         leaders *= 4

@@ -218,6 +218,8 @@ def near_duplicates(
             "order",
             "weight",
         )
+        # with fewer pivots than a full permutation, a like part of them must be shared
+        shared = max(1, shared * min(nearest, len(pivots)) // nearest)
         found = staged(
             met.groupBy("pivot", "lo", "hi").applyInArrow(
                 block_links(threshold, shared), "node long, links long, root long"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CUT = 0.4863
 BASELINE_HORIZONS = range(20, 96)
 FORECAST_SINCE = "2024-01-27 00:00:00"
-MODEL_HORIZONS = (4, 24, 120)
+SMALL_HORIZONS = (4, 24, 120)
 
 REGISTRY: dict[str, Query] = {}
 
@@ -383,27 +383,41 @@ def baseline_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(publish.forecast_records(predictions, "2024-01-30 00:01:00"))
 
 
-@query
-def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The path from matrix to records with small trees: 3 horizons, 3 rounds of depth 3.
-
-    The jobs train all horizons with the settings of their table.
-    """
+def _boosted(
+    spark: SparkSession,
+    sf_dir: str,
+    horizons: Sequence[int] = matrix.HORIZONS,
+    rounds: int | None = None,
+    depth: int | None = None,
+) -> DataFrame:
     frame = staged(_frame(spark, sf_dir), "frame")
-    training = matrix.horizon_matrix(frame, MODEL_HORIZONS, before=v.AS_OF)
+    training = models.stage_matrix(matrix.horizon_matrix(frame, horizons, before=v.AS_OF))
+    # Small tables have horizons without one complete row; there is nothing to fit for them.
+    horizons = sorted(row.horizon for row in training.select("horizon").distinct().collect())
     root = scratch_path(spark, "models")
-    models.train_models(
-        models.stage_matrix(training), MODEL_HORIZONS, root, rounds=3, depth=3, parallelism=3
-    )
-    recent = matrix.horizon_matrix(
-        frame, MODEL_HORIZONS, with_target=False, after="2024-01-29 00:00:00"
-    )
+    models.train_models(training, horizons, root, rounds=rounds, depth=depth)
+    recent = matrix.horizon_matrix(frame, horizons, with_target=False, after="2024-01-29 00:00:00")
     # A few rows per series: stored once, read by every model.
     newest = staged(publish.newest_origins(recent, v.AS_OF), "newest", ["horizon"])
-    predictions = models.predict(newest, MODEL_HORIZONS, root)
+    predictions = models.predict(newest, horizons, root)
     return publish.forecast_records(predictions, "2024-01-30 00:01:00")
 
 
+@query
+def gbt_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All horizons with the rounds, depth and step of the setting table.
+
+    Only a horizon without a single complete training row gets no model and no forecast.
+    """
+    return _boosted(spark, sf_dir)
+
+
+@query
+def gbt_path_3_horizons_3_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path from matrix to records only: 3 of 157 horizons, 3 rounds of depth 3."""
+    return _boosted(spark, sf_dir, SMALL_HORIZONS, rounds=3, depth=3)
+
+
 # --- scores, revisions, sinks --------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import START
 from slotcast.operators.grid import fixed_grid, own_grid
 from slotcast.plans import load, matrix, models
+from slotcast.registry import queries
 
 
 class Stub:
@@ -95,3 +96,30 @@ def test_grids_use_all_partitions(spark):
             assert len(used) == 64 and sum(r[1] for r in used) == 2000 * slots
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_gbt_forecast_trains_all_horizons_as_the_table_says(spark, sf_dir, monkeypatch):
+    asked, every = {"matrix": []}, list(range(4, 161))
+    build = matrix.horizon_matrix
+
+    def horizon_matrix(frame, horizons, **options):
+        asked["matrix"].append(list(horizons))
+        return build(frame, horizons, **options)
+
+    def train(rows, horizons, root, rounds=None, depth=None, parallelism=4):
+        asked.update(trained=list(horizons), rounds=rounds, depth=depth)
+
+    def predict(newest, horizons, root):
+        asked.update(predicted=list(horizons))
+        return newest.select("series_id", "datetime", "horizon", F.lit(1.0).alias("forecast"))
+
+    filled = spark.range(4, 161).select(F.col("id").cast("int").alias("horizon"))
+    monkeypatch.setattr(queries, "staged", lambda df, *a: df)
+    monkeypatch.setattr(matrix, "horizon_matrix", horizon_matrix)
+    monkeypatch.setattr(models, "stage_matrix", lambda df: filled)
+    monkeypatch.setattr(models, "train_models", train)
+    monkeypatch.setattr(models, "predict", predict)
+    queries.REGISTRY["gbt_forecast"](spark, sf_dir)
+    assert asked == {
+        "matrix": [every, every], "trained": every, "predicted": every, "rounds": None, "depth": None
+    }

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast.llm import jaccard, mixing, packing, quality, secrets
-from slotcast.llm.common import join_small, read, staged
+from slotcast.llm.common import fresh, join_small, read, staged
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,21 +26,28 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked at 80 % of their five-word shingles.
 
-    The one with the least id stays. Rows that share id and text are one document.
+    Rows that share id and text are one document, whether or not the id is null. The one
+    with the least id stays; null ids come last, and the text's hash decides between equal
+    ids. Documents without shingles are in no group.
     """
-    groups = staged(jaccard.jaccard_components(docs, words=5, percent=80), "groups")
-    copies = staged(
-        groups.where("not (doc_id <=> component_id)").select("doc_id").distinct(), "copies"
+    mark = fresh("_text_hash", docs.columns)
+    key = ["doc_id", mark]
+    keyed = docs.withColumn(mark, F.xxhash64("text"))
+    groups = staged(jaccard.jaccard_groups(keyed, words=5, percent=80, keys=[mark]), "groups")
+    first = groups.where("comp is not null").groupBy("comp").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), *key)).alias("first")
     )
-    repeated = staged(
-        groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
+    same = [F.col(f"first.{c}").eqNullSafe(F.col(c)) for c in key]
+    copies = staged(
+        groups.join(first, "comp").where(~(same[0] & same[1])).select(*key).distinct(), "copies"
     )
-    kept = join_small(docs, copies, ["doc_id"], "left_anti")
+    repeated = staged(groups.groupBy(*key).count().where("count > 1").select(*key), "repeated")
+    kept = join_small(keyed, copies, key, "left_anti")
     if repeated.isEmpty():
-        return kept
-    single = join_small(kept, repeated, ["doc_id"], "left_anti")
-    once = join_small(kept, repeated, ["doc_id"], "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.union(once)
+        return kept.select(*docs.columns)
+    single = join_small(kept, repeated, key, "left_anti")
+    once = join_small(kept, repeated, key, "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.union(once).select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ Two different sets or n-grams are taken as equal if their 64-bit hashes collide.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -137,24 +137,29 @@ def node_of(grams: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(grams.tobytes())], U64)
 
 
-def document_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, node) of every row; ``node`` stands for the set, null if empty."""
+def document_sets(docs: DataFrame, words: int, keys: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, *keys, n_shingles, node) of every row; ``node`` stands for the set, null if empty.
+
+    ``keys`` are columns of long integers that go along.
+    """
+    names = ["doc_id", *keys, "n_shingles", "node"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [ngram_set(t, words) for t in batch.column(1).to_pylist()]
+            *kept, texts = batch.columns
+            sets = [ngram_set(t, words) for t in texts.to_pylist()]
             nodes = [int(node_of(s).view(np.int64)[0]) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *kept,
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(nodes, pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "node"],
+                names,
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        build, "doc_id long, n_shingles long, node long"
+    return docs.select(F.col("doc_id").cast("long"), *keys, "text").mapInArrow(
+        build, ", ".join(f"`{name}` long" for name in names)
     )
 
 
@@ -282,15 +287,17 @@ def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+def jaccard_groups(
+    docs: DataFrame, words: int = 5, percent: int = 80, keys: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, *keys, n_shingles, comp) of every row of ``docs``.
 
-    The component is the least document id that links reach; two documents link when
-    100 * intersection >= percent * union.
+    Rows that links reach share ``comp``, whatever their ids; it is null for empty sets.
+    Two documents link when 100 * intersection >= percent * union.
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
-    sets = staged(document_sets(docs, words), "sets")
+    sets = staged(document_sets(docs, words, keys), "sets")
     by_sig = W.partitionBy("sig")
     shared = staged(
         signatures(docs, words, percent)
@@ -371,8 +378,17 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         links = staged(links.union(linked(pairs, sizes, segments, percent)), "links")
         leaders *= 4
     roots = connected_components(links)
-    rooted = sets.join(roots, "node", "left").withColumn(
-        "comp", F.coalesce("component", "node"))
+    return sets.join(roots, "node", "left").select(
+        "doc_id", *keys, "n_shingles", F.coalesce("component", "node").alias("comp")
+    )
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+
+    The component is the least document id that links reach.
+    """
+    rooted = jaccard_groups(docs, words, percent)
     lowest = rooted.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("low"))
     return rooted.join(lowest, "comp", "left").select(
         "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id")

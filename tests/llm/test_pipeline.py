@@ -7,6 +7,7 @@ import duckdb
 import pytest
 import test_duplicates
 import test_tokens_packing
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from slotcast.llm import mixing, quality, secrets
@@ -67,6 +68,26 @@ def test_stages_on_odd_rows(spark, sf_dir, make_docs):
         assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
 
 
+def test_near_duplicates_go_by_row_not_by_id(spark, sf_dir, make_docs):
+    texts = [" ".join(f"{letter}{i}" for i in range(60)) for letter in "abcdefgh"]
+    a, b, c, d, e, f, g, h = texts
+    rows = [
+        (1, a), (None, a + " more"), (None, b), (None, c),  # a copy without an id, clean rows without
+        (2, d), (3, d + " more"), (3, e),  # one id, one of its two texts a copy
+        (None, f), (None, f + " more"), (None, f),  # near copies, all without an id
+        (5, g), (5, g + " more"), (5, g),  # near copies that share an id
+        (None, None), (None, None), (None, ""), (6, h), (6, h),
+    ]
+    docs = make_docs(rows).withColumn("_text_hash", F.lit("kept"))
+    left = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, sf_dir)
+    assert left.columns == docs.columns
+    have = Counter((r.doc_id, (r.text or "")[:2], r.text is None) for r in left.collect())
+    assert have == Counter(
+        [(1, "a0", False), (None, "b0", False), (None, "c0", False), (2, "d0", False), (3, "e0", False),
+         (None, "f0", False), (5, "g0", False), (None, "", True), (None, "", False), (6, "h0", False)]
+    )
+
+
 def test_run(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.count() > 0 and {"doc_id", "sequence_id", "offset", "ids"} <= set(rows.columns)

@@ -4,7 +4,8 @@ Three patterns are always reported. Beyond them, every run of characters of a cl
 is long enough is a candidate, and a window slides over it one character at a time. The
 Shannon entropy of the window is kept by incremental counts: one character leaves, one
 enters, and only their terms of the sum change. Windows at or above the threshold of their
-class merge into spans. A candidate that an allow-list pattern matches gives no span.
+class merge into spans. Windows that overlap an allow-list match give no span; the rest of
+their candidate is scanned all the same.
 
 Spans are (kind, start, end) in code points, end exclusive, by start and then by kind in
 the order of ``KINDS``. A span of a pattern is its whole match; entropy spans may overlap
@@ -67,6 +68,20 @@ CLASSES = (
         3.7,
         (re.compile("[0-9]"), re.compile("[a-z]"), re.compile("[A-Z]")),
     ),
+    CharacterClass(
+        "entropy_lower",
+        re.compile(r"[a-z0-9]{20,}"),
+        20,
+        3.5,
+        (re.compile("[0-9]"), re.compile("[a-z]")),
+    ),
+    CharacterClass(
+        "entropy_upper",
+        re.compile(r"[A-Z0-9]{20,}"),
+        20,
+        3.5,
+        (re.compile("[0-9]"), re.compile("[A-Z]")),
+    ),
 )
 KINDS = ("assign", "access", "hex", *(c.name for c in CLASSES))
 BASE_KINDS = KINDS[:3]
@@ -102,11 +117,29 @@ def entropy_windows(text: str, window: int) -> Iterator[tuple[int, float]]:
             yield i - window + 1, math.log2(window) - total / window
 
 
-def entropy_spans(text: str, offset: int, chars: CharacterClass) -> Iterator[Span]:
-    """Merged windows of a candidate at or above the threshold that mix all kinds."""
+def allowed_stretches(text: str, allowed: Sequence[re.Pattern]) -> list[tuple[int, int]]:
+    """(start, end) of what the allow-list matches, in order, overlapping matches as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(m.span() for a in allowed for m in a.finditer(text)):
+        if out and start < out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        elif start < end:
+            out.append((start, end))
+    return out
+
+
+def entropy_spans(
+    text: str, offset: int, chars: CharacterClass, allowed: Sequence[re.Pattern] = ()
+) -> Iterator[Span]:
+    """Merged windows at or above the threshold that mix all kinds and overlap nothing allowed."""
     start = end = -1
+    free, at = allowed_stretches(text, allowed), 0
     for i, bits in entropy_windows(text, chars.window):
         stop = i + chars.window
+        while at < len(free) and free[at][1] <= i:
+            at += 1
+        if at < len(free) and free[at][0] < stop:
+            continue
         if bits < chars.bits or not all(k.search(text, i, stop) for k in chars.kinds):
             continue
         if i > end >= 0:
@@ -136,8 +169,7 @@ def spans_of(text: str | None, allowed: Sequence[re.Pattern] = ()) -> list[Span]
             spans += [Span(kind, *m.span()) for m in pattern.finditer(text, at, stop)]
         for chars in CLASSES:
             for m in chars.run.finditer(text, at, stop):
-                if not any(a.search(m[0]) for a in allowed):
-                    spans += entropy_spans(m[0], m.start(), chars)
+                spans += entropy_spans(m[0], m.start(), chars, allowed)
     return sorted(spans, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 

@@ -54,6 +54,34 @@ def test_entropy_spans_and_allow_list():
     assert not secrets.spans_of("zzzzzzzzzzzzzzzzzzzzzzzzzzzz1A of plain words undschöberheitlichkeitgeschwindigkeit")
 
 
+@pytest.mark.parametrize(
+    "letters,kind",
+    [("abcdefghijklmnopqrstuvwxyz0123456789", "entropy_lower"),
+     ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "entropy_upper"),
+     ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "entropy_upper")],
+)
+def test_keys_of_one_case(letters, kind):
+    rnd, allowed = random.Random(7), [re.compile(a) for a in secrets.ALLOWED]
+    # every window of a random key must mix digits and letters; most keys of 32 have one
+    keys = ["".join(rnd.choice(letters) for _ in range(32)) for _ in range(200)]
+    found = [[s for s in secrets.spans_of(f"see {k} there", allowed) if s.kind == kind] for k in keys]
+    assert sum(map(bool, found)) >= 196
+    for plain in ("donaudampfschifffahrtsgesellschaft", "chapter1of2chapter1of2chapter1of2", "AAAABBBB1111AAAABBBB1111AAAA"):
+        assert not [s for s in secrets.spans_of(plain, allowed) if s.kind == kind]
+
+
+def test_allowed_matches_hide_only_their_windows():
+    rnd, allowed = random.Random(5), [re.compile(a) for a in secrets.ALLOWED]
+    key = "".join(rnd.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz23456789") for _ in range(40))
+    text = f"com/example/{key}"
+    assert key[2:38] in "".join(text[s.start : s.end] for s in secrets.spans_of(text, allowed))
+    text = f"{key}/3F2504E0-4F89-11D3-9A0C-0305E82C3301/your_{key}"
+    spans = secrets.spans_of(text, allowed)
+    free = secrets.allowed_stretches(text, allowed)
+    assert len(free) == 2 and all(s.end <= a or s.start >= b for s in spans for a, b in free)
+    assert any(s.end <= free[0][0] for s in spans) and any(s.start >= free[1][1] for s in spans)
+
+
 def test_redaction_and_edges(make_docs):
     docs = make_docs([(1, None), (2, ""), (3, "my token = abcdefghijklmnop now"), (3, "clean é text")])
     out = secrets.redact_secrets(docs.withColumn("spans", F.lit(0)))

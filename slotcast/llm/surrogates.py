@@ -1,12 +1,15 @@
 """Surrogates for personal data: keyed, type-consistent, distinct and consistent.
 
-Entities are found by patterns: e-mail addresses, telephone and card numbers, IPv4
-addresses, social security and bank account numbers, and first names of a lexicon with
+Entities are found by patterns: e-mail addresses, telephone and card numbers, IPv4 and
+IPv6 addresses, social security and bank account numbers, and first names of a lexicon with
 the surnames that follow them or a form of address. Each distinct (kind, canonical value)
 of the corpus gets one surrogate, so all mentions of a value agree in all documents:
 
 * digits stay digits, in the places and with the separators of each mention; card numbers
   keep their first digit and a valid check digit, and numbers without one are left alone;
+* a ten-digit telephone number that starts with 2-9 is the same value as with +1 before it;
+  a leading 0 stays;
+* IPv6 addresses become full ones below 2001:db8;
 * e-mail addresses become addresses below the reserved name ``example``;
 * first names become names of the same gender and script, by a keyed rotation of the
   lexicon, which cannot collide; surnames are built from syllables of their script; the
@@ -66,22 +69,34 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-CARD = r"(?<![0-9A-Za-z.+-])[3-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])"
+HEXTET = "[0-9A-Fa-f]{1,4}"
+#: Eight groups, or a shortened address of an assigned range (2000::/3, fc00::/6).
+IP6 = (
+    rf"(?<![0-9A-Za-z:.])(?:{HEXTET}(?::{HEXTET}){{7}}"
+    rf"|(?:[23][0-9A-Fa-f]{{3}}|[Ff][C-Fc-f][0-9A-Fa-f]{{2}})(?::{HEXTET}){{0,5}}::(?:{HEXTET}(?::{HEXTET}){{0,5}})?)"
+    r"(?![0-9A-Za-z:])"
+)
+CARD = (
+    r"(?<![0-9A-Za-z.+-])(?:[2-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{3,4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})"
+    r"(?![0-9A-Za-z]|[.-][0-9])"
+)
 PHONE = (
-    r"(?<![0-9A-Za-z.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[.-])"
+    r"(?<![0-9A-Za-z.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])"
     r"[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
     r"|(?<![0-9A-Za-z.])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z.])0[0-9](?:[ .-][0-9]{2}){4}(?![0-9A-Za-z]|[.-][0-9])"
+    r"|(?<![0-9A-Za-z.-])0[0-9]{1,4}[ /-][0-9]{5,8}(?![0-9A-Za-z]|[.-][0-9])"
 )
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 _NAMES = "|".join(n for names in FIRST_NAMES.values() for x in names for n in (x, x.upper()))
 FIRST = rf"(?<!\p{{L}})(?:{_NAMES})(?!\p{{L}})"
 SURNAME = (
-    rf"(?<=(?<!\p{{L}})(?:{_NAMES}|(?:{'|'.join(ADDRESSES)})\.?) )\p{{Lu}}\p{{L}}{{2,}}(?!\p{{L}})"
+    rf"(?<=(?<!\p{{L}})(?:{_NAMES}|(?:{'|'.join(ADDRESSES)})\.?)\h{{1,3}})\p{{Lu}}\p{{L}}{{2,}}(?!\p{{L}})"
 )
-NUMBERS = "|".join((EMAIL, IP, IBAN, SSN, CARD, PHONE))
+NUMBERS = "|".join((EMAIL, IP, IP6, IBAN, SSN, CARD, PHONE))
 EVERYTHING = f"{NUMBERS}|{FIRST}|{SURNAME}"
 #: A text that neither of these finds holds no entity.
-HAS_NUMBER = "[0-9@]"
+HAS_NUMBER = "[0-9@]|::"
 HAS_NAME = rf"(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESSES)})(?!\p{{L}})"
 
 
@@ -90,7 +105,7 @@ def kind_of(value: Column) -> Column:
 
     Null for a number that looks like a card's but fails its check digit.
     """
-    kinds = (("email", EMAIL), ("ip", IP), ("iban", IBAN), ("ssn", SSN), ("card", CARD), ("phone", PHONE), ("first", FIRST))
+    kinds = (("email", EMAIL), ("ip", IP), ("ip6", IP6), ("iban", IBAN), ("ssn", SSN), ("card", CARD), ("phone", PHONE), ("first", FIRST))
     kind = F.lit("last")
     for name, pattern in reversed(kinds):
         kind = F.when(value.rlike(f"^(?:{pattern})$"), name).otherwise(kind)
@@ -99,11 +114,22 @@ def kind_of(value: Column) -> Column:
     return F.when(~invalid, kind)
 
 
+def _full_ip6(value: Column) -> Column:
+    """All eight groups of four digits of an IPv6 address."""
+    groups = lambda i: F.filter(F.split(F.split_part(F.lower(value), F.lit("::"), F.lit(i)), ":"), lambda x: x != "")
+    missing = F.array_repeat(F.lit("0"), 8 - F.size(groups(1)) - F.size(groups(2)))
+    return F.array_join(F.transform(F.concat(groups(1), missing, groups(2)), lambda x: F.lpad(x, 4, "0")), ":")
+
+
 def canonical(kind: Column, value: Column) -> Column:
     """What all mentions of one entity share: lower case, or digits and capitals alone."""
-    return F.when(kind.isin("card", "phone", "ssn"), F.regexp_replace(value, "[^0-9]", "")).when(
-        kind == "iban", F.regexp_replace(value, " ", "")
-    ).when(kind == "ip", value).otherwise(F.lower(value))
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    national = (kind == "phone") & value.rlike("^[^+]") & digits.rlike("^[2-9][0-9]{9}$")
+    return F.when(national, F.concat(F.lit("1"), digits)).when(
+        kind.isin("card", "phone", "ssn"), digits
+    ).when(kind == "iban", F.regexp_replace(value, " ", "")).when(kind == "ip", value).when(
+        kind == "ip6", _full_ip6(value)
+    ).otherwise(F.lower(value))
 
 
 def _draw(stream: Column, i: Column, sides: int) -> Column:
@@ -177,10 +203,17 @@ def drawn(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         F.when(kind == "email", F.concat(_alike(local, stream), F.lit("@"), domain, F.lit(".example")))
         .when(kind == "ip", F.concat_ws(".", *map(octet, range(4))))
         .when(kind == "card", F.concat(card, check.cast("string")))
-        .when(kind == "phone", F.concat(
-            # a leading 1 is the country code where eleven digits are given
-            F.when(F.length(value) == 11, F.substr(value, F.lit(1), F.lit(1))).otherwise(""),
-            F.when(F.length(value) == 11, F.substr(alike, F.lit(2), F.lit(10))).otherwise(alike),
+        .when(kind == "ip6", F.concat(F.lit("2001:0db8:"), F.regexp_replace(F.substr(stream, F.lit(1), F.lit(24)), "(.{4})(?=.)", "$1:")))
+        .when(kind == "phone", (
+            # a leading 1 is the country code where eleven digits are given; the area code
+            # after it starts with 2-9, so that no ten digits of it are another value
+            F.when(value.rlike("^1[0-9]{10}$"), F.concat(
+                F.lit("1"), F.translate(F.substr(alike, F.lit(2), F.lit(1)), "01", "23"), F.substr(alike, F.lit(3), F.lit(9))
+            ))
+            .when((F.length(value) == 11) | value.startswith("0"), F.concat(
+                F.substr(value, F.lit(1), F.lit(1)), F.substr(alike, F.lit(2), F.length(value) - 1)
+            ))
+            .otherwise(alike)
         ))
         .when(kind == "iban", F.concat(F.substr(value, F.lit(1), F.lit(2)), F.substr(alike, F.lit(3), F.length(value) - 2)))
         .when(kind == "first", _rotated(value, key))
@@ -216,10 +249,13 @@ def assign(values: DataFrame, key: str = KEY) -> DataFrame:
 def rendered(kind: Column, mention: Column, surrogate: Column) -> Column:
     """The surrogate in the format and case of a mention."""
     body = F.when(kind == "iban", "[A-Z0-9]").otherwise("[0-9]")
+    # a mention without the country code takes the digits after it
+    given = F.length(F.regexp_replace(mention, "[^0-9]", ""))
+    skip = F.when(kind == "phone", F.length(surrogate) - given).otherwise(0)
 
     def fill(ch: Column, i: Column) -> Column:
         before = F.regexp_replace(F.substr(mention, F.lit(1), i), F.when(kind == "iban", "[^A-Z0-9]").otherwise("[^0-9]"), "")
-        return F.when(F.regexp_like(ch, body), F.substr(surrogate, F.length(before) + 1, F.lit(1))).otherwise(ch)
+        return F.when(F.regexp_like(ch, body), F.substr(surrogate, skip + F.length(before) + 1, F.lit(1))).otherwise(ch)
 
     filled = F.array_join(F.transform(F.split(mention, ""), fill), "")
     cased = F.when(mention == F.upper(mention), F.upper(surrogate)).when(

@@ -189,3 +189,23 @@ def test_surrogates_stay_distinct(spark, make_docs):
     docs = make_docs([(1, "a 10.0.0.1"), (1, "a 10.0.0.1"), (None, "b 10.0.0.1 10.0.0.2"), (None, None)])
     texts = [r.text for r in surrogates.replace_entities(docs).orderBy("text").collect()]
     assert texts[1] == texts[2] and texts[1].split()[1] == texts[3].split()[1] != texts[3].split()[2]
+
+
+def test_surrogates_of_more_forms(make_docs):
+    """Forms of numbers that were left in the text, and one value for a number with and without +1."""
+    forms = [
+        "555 123 4567", "030 1234567", "06 12 34 56 78", "2223 0031 2200 3222", "3782 822463 10005",
+        "2001:db8::8a2e:370:7334", "fdaa::b", "2001:0DB8:0:0:0:8A2E:0370:7334",
+    ]
+    texts = [f"it is {form} today" for form in forms]
+    texts += ["a +1 555-123-4567 b 555-123-4567 c (555) 123-4567", "Mr  Zwingli spoke", "at 12:34:56 std::dec ratio 1:2"]
+    out = {r.doc_id: r for r in surrogates.replace_entities(make_docs(texts)).collect()}
+    assert [out[i].n_entities for i in range(len(texts))] == [1] * 8 + [3, 1, 0]
+    new = [out[i].text.removeprefix("it is ").removesuffix(" today") for i in range(8)]
+    assert not set(new) & set(forms)
+    assert [re.sub("[0-9]", "9", x) for x in new[:5]] == [re.sub("[0-9]", "9", x) for x in forms[:5]]
+    assert new[1][0] == new[2][0] == "0" and new[5] == new[7] != new[6] and new[5].startswith("2001:0db8:")
+    assert "Zwingli" not in out[9].text and out[10].text == texts[10]
+    numbers = re.sub("[^0-9abc]", "", out[8].text)
+    with_code, bare, round_ = re.fullmatch("a(.*)b(.*)c(.*)", numbers).groups()
+    assert with_code == "1" + bare and bare == round_ == re.sub("[^0-9]", "", new[0]) != "5551234567"

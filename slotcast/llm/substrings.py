@@ -159,7 +159,7 @@ def repeated_anchors(docs: DataFrame, length: int) -> DataFrame:
             )
 
     places = docs.select("_id", "_hash", "text").mapInArrow(
-        anchors, "_id long, _hash int, anchor long, state int"
+        anchors, "_id long, _hash long, anchor long, state int"
     )
     # settled rows are spread by their text, so that no anchor gathers them
     settled = F.col("state") == 0
@@ -208,7 +208,7 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([ids[i][0] for i in texts], pa.int64()),
-                pa.array([ids[i][1] for i in texts], pa.int32()),
+                pa.array([ids[i][1] for i in texts], pa.int64()),
                 _signed(np.concatenate([h[sent], spread])),
                 pa.array(np.concatenate([start[sent], np.array([o[1] for o in own], np.int64)])),
                 pa.array(np.concatenate([state, np.array([o[2] for o in own], np.int64)])),
@@ -235,7 +235,7 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
             yield settle(ids, hashes, starts)
 
     rows = docs.select("_id", "_hash", "text", "anchors").mapInArrow(
-        windows, "_id long, _hash int, window long, start long, stop long"
+        windows, "_id long, _hash long, window long, start long, stop long"
     )
     settled = F.col("stop") > 0
     same = W.partitionBy("window", settled)
@@ -307,7 +307,7 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     same name.
     """
     docs = docs.drop(*RESULT.fieldNames())
-    key = {"_id": F.col("doc_id").cast("long"), "_hash": F.hash("text")}
+    key = {"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")}
     cut = text_removals(docs.select("doc_id", "text"), length)
     if set(docs.columns) == {"doc_id", "text"}:
         return cut.select(F.col("_id").alias("doc_id"), "text", "_cut.*")
@@ -322,7 +322,7 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
 def text_removals(docs: DataFrame, length: int) -> DataFrame:
     """(_id, _hash, text, _cut) of every row of (doc_id, text)."""
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("_id"), F.hash("text").alias("_hash"), "text"
+        F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), "text"
     )
     renamed = {"_id": "_id2", "_hash": "_hash2"}
     here = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_hash") == F.col("_hash2"))

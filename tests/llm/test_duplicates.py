@@ -216,3 +216,19 @@ def test_vectors_with_small_blocks_and_edges(spark):
     rows = neighbours.near_duplicates(frame, block=16).collect()
     assert {(r.n_links, r.component_id) for r in rows} == {(151, 0)}
     assert neighbours.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_texts_whose_short_hashes_collide(spark, make_docs):
+    """Two texts of one id and one 32-bit hash: what is removed from one stays in the other."""
+    common = " ".join(f"c{i}" for i in range(40))
+    own = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(39)), lambda i: F.concat(F.lit("u"), "id", F.lit("_"), i)), " ")
+    texts = spark.range(300_000).select(
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit(f"{common} t"), "id")).otherwise(own).alias("text")
+    ).withColumn("repeats", F.col("text").startswith("c"))
+    pairs = texts.groupBy(F.hash("text").alias("h")).agg(
+        F.max(F.when(F.col("repeats"), F.col("text"))).alias("a"), F.max(F.when(~F.col("repeats"), F.col("text"))).alias("b")
+    )
+    pair = pairs.where("a is not null and b is not null").first()
+    docs = make_docs([(None, pair.a), (None, pair.b), (1, common)]).select("doc_id", "text")
+    removed = {r.text: r.n_removed for r in substrings.remove_repeats(docs, 35).collect()}
+    assert removed == {pair.a: 40, pair.b: 0, common: 40}

@@ -2,15 +2,15 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from slotcast.session import local_session  # noqa: E402
+from series_vectors import START  # noqa: E402
 
-START = datetime(2024, 1, 1)
+from slotcast.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -37,7 +37,3 @@ def series(spark):
         )
 
     return build
-
-
-def column(df, name, order="datetime"):
-    return [row[name] for row in df.orderBy(order).select(name).collect()]

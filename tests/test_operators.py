@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import START, column
+from series_vectors import START, column
 from pyspark.sql import functions as F
 
 from slotcast.functions.calendar import clock

@@ -8,7 +8,7 @@ import tempfile
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import START, column
+from series_vectors import START, column
 from pyspark.sql import functions as F
 
 from slotcast.plans import accuracy, deviation, features, jobs, load, matrix, models, publish

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import START
+from series_vectors import START
 from slotcast.operators.grid import fixed_grid, own_grid
 from slotcast.plans import load, matrix, models
 from slotcast.registry import queries

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import jaccard, mixing, neighbours, packing, quality, secrets, substrings, surrogates, tokens, urls
+from slotcast.llm import jaccard, mixing, neighbours, packing, quality, secrets, substrings, surrogates, tokens, toxicity, urls
 from slotcast.llm.common import read
 
 
@@ -88,6 +88,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"), BYTE_VOCABULARY)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_surrogates": op2_surrogates,
@@ -99,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_vectors": op9_near_vectors,
     "op10_quality_rules": op10_quality_rules,
+    "op11_toxicity": op11_toxicity,
 }

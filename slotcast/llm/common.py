@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.session import staged
+from slotcast.session import scratch_path, staged
 
 #: A word is a maximal run of characters other than space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -53,4 +53,21 @@ def join_small(
     return df.join(right, test, how).drop(*names.values())
 
 
-__all__ = ["SMALL_ROWS", "WORD", "fresh", "join_small", "read", "staged", "words_of"]
+def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> tuple[DataFrame, str]:
+    """Like ``staged``, with the folder, for a table that ``discard`` deletes once it is used up."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of the shared folder that no later step reads."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(hadoop).delete(place, True)
+
+
+__all__ = [
+    "SMALL_ROWS", "WORD", "discard", "fresh", "join_small", "read", "staged", "stored", "words_of",
+]

@@ -94,9 +94,79 @@ SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(r, e.vec_id) AS com
 FROM embeddings e LEFT JOIN roots ON roots.vec_id = e.vec_id LEFT JOIN counts ON counts.vec_id = e.vec_id
 """
 
+def centroids_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """Every round assigns all vectors to all centroids and takes exact floors of the means."""
+
+    def assigned(r: int) -> str:
+        return f"""
+a{r} AS MATERIALIZED (
+  SELECT n, vec_id, v, k, d FROM (
+    SELECT x.n, x.vec_id, x.v, c.k, list_sum(list_transform(list_zip(x.v, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM kept x, c{r} c)
+  QUALIFY row_number() OVER (PARTITION BY n ORDER BY d, k) = 1)"""
+
+    def centred(r: int) -> str:
+        return f"""
+c{r + 1} AS MATERIALIZED (
+  SELECT o.k, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+      SELECT k, i, sum(x)::BIGINT AS s, count(*)::BIGINT AS n
+      FROM (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY k, i)
+    GROUP BY k) m USING (k))"""
+
+    steps = ["""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND list_count(embedding) = 64
+    AND len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) = 64)""", f"""
+c0 AS MATERIALIZED (
+  SELECT k - 1 AS k, v AS c FROM (
+    SELECT v, row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, n) AS k FROM kept)
+  WHERE k <= {clusters})"""]
+    for r in range(rounds):
+        steps += [assigned(r), centred(r)]
+    steps.append(assigned(rounds))
+    return f"""
+WITH {",".join(steps)}
+SELECT a.vec_id, a.k::INTEGER AS cluster, a.d AS distance,
+       (sum(a.d) OVER (PARTITION BY a.k))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.k = c.k
+"""
+
+
+NEGATIVES = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) = len(embedding)),
+scored AS MATERIALIZED (
+  SELECT a.n AS a, a.vec_id AS anchor_id, o.n, o.vec_id, a.label = o.label AS same,
+         list_sum(list_transform(list_zip(a.v, o.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM kept a JOIN kept o ON a.n <> o.n AND a.vec_id % 100 = 0 AND len(a.v) = len(o.v)),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, n) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, x.vec_id AS negative_id,
+         p.score AS positive_score, x.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.n ORDER BY x.score DESC, x.vec_id, x.n) AS rank
+  FROM positives p JOIN scored x ON p.a = x.a AND NOT x.same
+   AND 80 * p.score <= 100 * x.score AND 100 * x.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op4_jaccard_join": JACCARD,
     "op6_mixing": MIXING,
     "op7_substring_dedup": SUBSTRINGS,
     "op9_near_vectors": VECTORS,
+    "op12_centroids": centroids_sql(),
+    "op13_hard_negatives": NEGATIVES,
 }

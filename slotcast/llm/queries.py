@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotcast.llm import jaccard, mixing, neighbours, packing, quality, secrets, substrings, surrogates, tokens, toxicity, urls
+from slotcast.llm import centroids, jaccard, mixing, negatives, neighbours, packing, quality, secrets, substrings, surrogates, tokens, toxicity, urls
 from slotcast.llm.common import read
 
 
@@ -93,6 +93,17 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, read(spark, sf_dir, "labels"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_negatives(
+        read(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 100 == 0, label=changed
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_surrogates": op2_surrogates,
@@ -105,4 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_vectors": op9_near_vectors,
     "op10_quality_rules": op10_quality_rules,
     "op11_toxicity": op11_toxicity,
+    "op12_centroids": op12_centroids,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -9,24 +9,27 @@ fragments, which cuts every document's n-gram set into segments:
   only where two or more of its own are empty, which keeps the argument), so every pair
   that qualifies shares a signature. Sizes fall into classes, since both sides must be
   cut alike; a set small enough to have its partner in the class below is cut twice.
-* Verification. The order is cut anew into a fixed number of fragments. Per candidate pair
-  the overlap is counted in each fragment separately, and the partial counts are summed.
-
-Documents with equal sets form one node first, so copies are never compared. N-grams that
-only one candidate holds are counted, and pairs that cannot reach the threshold because
-of them are left out; so are sets that no partner can make up for. Links are sought for
-components, not for their own sake: a pair inside a known component is not tested. Round
-0 tests each node against one other that shares a signature with it, the one with the
-fewest n-grams of its own, which is nearest to what a group was copied from. Round 1
-takes the first node of each signature that still spans several components, later rounds
-its first 4, 16, 64 ... nodes, until all its pairs were tested, ruled out, or are known
-to be connected. No candidate is capped, and a group of near copies costs a few tests per
-copy.
+* Verification. Candidates first compare sketches, one bit per place for the parity of
+  the n-grams that fall there. Two sketches differ in no more places than their sets do in
+  n-grams, so a pair whose sketches differ too much is ruled out without fetching its sets.
+  For the rest the order is cut anew into a fixed number of fragments. Per pair the overlap
+  is counted in each fragment separately, and the partial counts are summed.
+
+Documents with equal sets form one node first, so copies are never compared. Links are
+sought for components, not for their own sake: a pair inside a known component is not
+tested. Round 0 tests each node against one other that shares a signature with it, the one
+that shares the largest part of its signatures, which is nearest to what a group was copied
+from. Rounds 1 and 2 take the first and the first four nodes of each signature that still
+spans several components. What then still spans several is compared whole: its members are
+dealt to bounded blocks, every pair of blocks in one task, and only pairs whose sketches
+allow a link leave the task to be verified. No candidate is capped, and a group of near
+copies costs a few tests per copy.
 
 Defined cases: null and blank texts have an empty set, link with nothing and are their
 own component; a text with fewer words than ``words`` has one n-gram, its whole sequence.
 Null document ids take part; a component's id is the least id that is not null.
-Two different sets or n-grams are taken as equal if their 64-bit hashes collide.
+Two different sets are taken as equal if their 64-bit hashes collide, and two n-grams if 52
+bits of theirs do.
 """
 
 from __future__ import annotations
@@ -48,6 +51,8 @@ from slotcast.llm.tokens import Remembered
 
 #: Fragments of the verification.
 FRAGMENTS = 16
+#: Members of a signature that meet in one task.
+BLOCK = 2048
 U64 = np.uint64
 
 
@@ -185,29 +190,55 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(build, "sig long, node long")
 
 
+def odd_sketch(grams: np.ndarray) -> np.ndarray:
+    """One bit per place for whether an odd number of n-grams falls there, as words of 64.
+
+    The sketches of two sets differ in no more places than the sets differ in n-grams.
+    """
+    places = max(64, 1 << (len(grams) - 1).bit_length())
+    counts = np.bincount((grams & U64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(np.uint8)).view(U64)
+
+
+def halved(sketch: np.ndarray, width: int) -> np.ndarray:
+    """The sketch on ``width`` words: a place is odd if an odd number of those it stands for is."""
+    while len(sketch) > width:
+        half = len(sketch) // 2
+        sketch = sketch[:half] ^ sketch[half:]
+    return sketch
+
+
+def fewest_differences(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound of the n-grams that only one of two sets holds, from their sketches."""
+    width = min(len(a), len(b))
+    return int(np.bitwise_count(halved(a, width) ^ halved(b, width)).sum())
+
+
 def fragments_of(docs: DataFrame, words: int) -> DataFrame:
-    """(node, fragment, grams): each set's segments, six bytes of hash per n-gram."""
+    """(node, grams, odd): each set's segments, six bytes of hash per n-gram, and its sketch."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [])
+            seen = set()
             for text in batch.column(0).to_pylist():
                 grams = ngram_set(text, words)
                 node = int(node_of(grams).view(np.int64)[0])
+                if not len(grams) or node in seen:
+                    continue
+                seen.add(node)
                 low = grams.view(np.uint8).reshape(-1, 8)[:, :6]
                 edges = np.searchsorted(grams >> U64(60), np.arange(FRAGMENTS + 1, dtype=U64))
-                for f in range(FRAGMENTS):
-                    if edges[f] < edges[f + 1]:
-                        rows[0].append(node)
-                        rows[1].append(f)
-                        rows[2].append(low[edges[f] : edges[f + 1]].tobytes())
+                rows[0].append(node)
+                rows[1].append([low[edges[f] : edges[f + 1]].tobytes() for f in range(FRAGMENTS)])
+                rows[2].append(odd_sketch(grams).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()),
+                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.list_(pa.binary())),
                  pa.array(rows[2], pa.binary())],
-                ["node", "fragment", "grams"],
+                ["node", "grams", "odd"],
             )
 
-    return docs.select("text").mapInArrow(build, "node long, fragment int, grams binary")
+    return docs.select("text").mapInArrow(build, "node long, grams array<binary>, odd binary")
 
 
 def six_bytes(raw: bytes) -> np.ndarray:
@@ -216,70 +247,54 @@ def six_bytes(raw: bytes) -> np.ndarray:
     return wide.view(U64).ravel()
 
 
-@F.arrow_udf(T.LongType())
-def partial_overlap(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Common six-byte values of two segments."""
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def partial_overlaps(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Common six-byte values of two sets, fragment by fragment."""
 
     def common(x: bytes, y: bytes) -> int:
         if x == y:
             return len(x) // 6
         return len(np.intersect1d(six_bytes(x), six_bytes(y), assume_unique=True))
 
-    return pa.array([common(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int64())
-
-
-def unique_grams(segments: DataFrame) -> DataFrame:
-    """(node, u): how many n-grams of a set no other set of ``segments`` holds.
-
-    A batch settles what repeats inside it, so a common n-gram is one row per batch.
-    """
+    return pa.array(
+        [[common(x, y) for x, y in zip(p, q, strict=True)] for p, q in zip(a.to_pylist(), b.to_pylist(), strict=True)],
+        pa.list_(pa.int64()),
+    )
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = batch.column(2).to_pylist()
-            grams = six_bytes(b"".join(raw)) | (
-                np.repeat(batch.column(1).to_numpy(), [len(x) // 6 for x in raw]).astype(U64) << U64(60)
-            )
-            nodes = np.repeat(batch.column(0).to_numpy(), [len(x) // 6 for x in raw])
-            values, first, n = np.unique(grams, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [_signed(values), pa.array(nodes[first]), pa.array(np.minimum(n, 2))],
-                ["gram", "node", "n"],
-            )
 
-    places = segments.select("node", "fragment", "grams").mapInArrow(
-        build, "gram long, node long, n long"
+@F.arrow_udf(T.LongType())
+def least_difference(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array(
+        [
+            fewest_differences(np.frombuffer(x, U64), np.frombuffer(y, U64))
+            for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)
+        ],
+        pa.int64(),
     )
-    single = places.groupBy("gram").agg(F.sum("n").alias("n"), F.min("node").alias("node"))
-    return single.where("n = 1").groupBy("node").agg(F.count("*").alias("u"))
 
 
-def may_link(percent: int, na: str, ua: str, nb: str, ub: str) -> Column:
-    """False only for pairs that cannot link, by their sizes and their unique n-grams.
+def linked(pairs: DataFrame, sizes: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose similarity is at least ``percent`` of 100.
 
-    Unique n-grams are not common, and those of either set add to the other in the union.
+    Pairs whose sizes or sketches already differ too much are left out before their sets
+    are fetched. With union u and common n-grams c, u - c of them are in one set only, and
+    100 * c >= percent * u means (100 + percent) * (u - c) <= (100 - percent) * (na + nb).
     """
-    common = F.least(F.col(na) - F.col(ua), F.col(nb) - F.col(ub))
-    union = F.greatest(F.col(na) + F.col(ub), F.col(nb) + F.col(ua))
-    return 100 * common >= percent * union
-
-
-def linked(pairs: DataFrame, sizes: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose similarity is at least ``percent`` of 100."""
     ends = [
-        sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("u").alias(f"u{x}"))
+        sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"o{x}"))
         for x in ("a", "b")
     ]
-    fitting = pairs.join(ends[0], "a").join(ends[1], "b").where(
-        may_link(percent, "na", "ua", "nb", "ub")
+    alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    near = (100 + percent) * least_difference("oa", "ob") <= (100 - percent) * (F.col("na") + F.col("nb"))
+    fitting = staged(
+        pairs.join(ends[0], "a").join(ends[1], "b").where(alike).where(near).select("a", "b", "na", "nb"),
+        "fitting-pairs",
     )
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("ga"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("gb"))
-    both = fitting.join(left, "a").join(right, ["b", "fragment"])
-    part = both.select("a", "b", "na", "nb", "fragment", partial_overlap("ga", "gb").alias("part"))
-    # a segment stored twice, from repeated document ids, counts once
-    once = part.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("part").alias("part"))
-    whole = once.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
+    left = segments.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
+    right = segments.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
+    part = fitting.join(left, "a").join(right, "b").withColumn("parts", partial_overlaps("ga", "gb"))
+    both = F.aggregate("parts", F.lit(0).cast("long"), lambda x, y: x + y)
+    whole = part.select("a", "b", "na", "nb", both.alias("both"))
     return whole.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
@@ -287,6 +302,101 @@ def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def open_signatures(
+    shared: DataFrame, near: DataFrame, links: DataFrame, done: int
+) -> tuple[DataFrame, DataFrame]:
+    """The members (sig, node, comp) of signatures that span components, and (sig, members).
+
+    Signatures of at most ``done`` members have had all their pairs tested.
+    """
+    labels = staged(
+        near.select("node").join(connected_components(links), "node", "left").select(
+            "node", F.coalesce("component", "node").alias("comp")
+        ),
+        "labels",
+    )
+    placed = shared.select("sig", "node").join(labels, "node")
+    spans = staged(
+        placed.groupBy("sig")
+        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members"))
+        .where((F.col("lo") != F.col("hi")) & (F.col("members") > done))
+        .select("sig", "members"),
+        "spans",
+    )
+    members = placed.join(spans.select("sig"), "sig").select("sig", "node", "comp")
+    return staged(members, "open-signatures"), spans
+
+
+def survivors(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a block that differ in component and may link, by size and sketch."""
+    comp, n, side = (table[c].to_numpy() for c in ("comp", "n", "side"))
+    odd = [np.frombuffer(x, U64) for x in table["odd"].to_pylist()]
+    width = np.array([len(x) for x in odd])
+    first, second = [], []
+    for w in np.unique(width):
+        at = np.flatnonzero(width >= w)
+        folded = np.stack([halved(odd[i], w) for i in at])
+        for i in np.flatnonzero(width[at] == w):
+            # pairs of one width are met once, in their order; others from the narrower side
+            other = np.flatnonzero((width[at] > w) | (np.arange(len(at)) > i))
+            me, them = at[i], at[other]
+            ok = (comp[them] != comp[me]) & (
+                100 * np.minimum(n[them], n[me]) >= percent * np.maximum(n[them], n[me])
+            )
+            if side.any():
+                ok &= side[them] != side[me]
+            other, them = other[ok], them[ok]
+            fewest = np.bitwise_count(folded[other] ^ folded[i]).sum(axis=1)
+            fits = (100 + percent) * fewest <= (100 - percent) * (n[them] + n[me])
+            second.append(them[fits])
+            first.append(np.full(int(fits.sum()), me))
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *first]), np.concatenate([empty, *second])
+
+
+def block_pairs(members: DataFrame, spans: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """(a, b), repeated: pairs of a signature that may link, from (sig, node, comp, n, odd).
+
+    A signature's members are dealt to blocks by hash, and every pair of blocks is compared
+    in one task. Only what survives leaves it.
+    """
+    blocks = F.ceil(F.col("members") / (block * 0.8)).cast("int")
+    dealt = members.join(spans.select("sig", blocks.alias("blocks")), "sig").withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "sig",
+        F.least("own", "other").alias("lo"),
+        F.greatest("own", "other").alias("hi"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "node", "comp", "n", "odd",
+    )
+    names = met.columns
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(table: pa.Table) -> pa.RecordBatch:
+            node = table["node"].to_numpy()
+            i, j = survivors(table, percent)
+            ends = [np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b"])
+
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch.rename_columns(names)])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            keys = np.stack([table[c].to_numpy() for c in ("sig", "lo", "hi")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            edges = [0, *cuts.tolist()]
+            for a, b in zip(edges, edges[1:]):
+                yield pairs(table.slice(a, b - a))
+            rest = table.slice(edges[-1])  # its group may go on in the next batch
+        if rest is not None and rest.num_rows:
+            yield pairs(rest)
+
+    placed = met.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi")
+    return placed.mapInArrow(work, "a long, b long")
+
+
 def jaccard_groups(
     docs: DataFrame, words: int = 5, percent: int = 80, keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -307,68 +417,66 @@ def jaccard_groups(
         .select("sig", "node"),
         "shared-signatures",
     )
-    near = staged(shared.select("node").distinct(), "near-nodes")
+    # a set that shares many of its signatures is close to what its group was copied from
+    near = staged(shared.groupBy("node").agg(F.count("*").alias("sigs")), "near-nodes")
     samples = staged(
-        join_small(sets.where("node is not null"), near, ["node"], "left_semi")
+        join_small(sets.where("node is not null"), near.select("node"), ["node"], "left_semi")
         .groupBy("node")
         .agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id")),
         "near-samples",
     )
-    segments = staged(
+    fetched = staged(
         fragments_of(
             join_small(docs.select("doc_id", "text"), samples.select("doc_id"), ["doc_id"], "left_semi"),
             words,
         ),
         "segments",
     )
+    segments = fetched.join(near.select("node"), "node", "left_semi")
+    if fetched.count() > samples.count():  # ids on several rows bring sets more than once
+        segments = staged(
+            segments.groupBy("node").agg(F.first("grams").alias("grams"), F.first("odd").alias("odd")),
+            "single-segments",
+        )
     sizes = staged(
-        samples.join(unique_grams(segments), "node", "left").select(
-            "node", "n", F.coalesce("u", F.lit(0)).alias("u")
-        ),
+        samples.select("node", "n")
+        .join(segments.select("node", "odd"), "node")
+        .join(near, "node")
+        .select("node", "n", "odd", (-F.col("sigs") / F.col("n")).alias("apart")),
         "near-sizes",
     )
-    # what cannot link, with the smallest set that shares its signature at best, leaves it
-    least = F.min("n").over(by_sig)
-    shared = staged(
-        shared.join(sizes.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")), "node")
-        .withColumn("least", least)
-        .where(100 * (F.col("n") - F.col("u")) >= percent * (F.col("least") + F.col("u")))
-        .withColumn("lead", F.min(F.struct("u", "node")).over(by_sig))
-        .select("sig", "node", "lead"),
-        "candidate-signatures",
+    # signatures of the same sets ask the same question; one of them stays
+    groups = shared.groupBy("sig").agg(
+        F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+    )
+    asked = groups.groupBy("members", "one", "two").agg(F.min("sig").alias("sig"))
+    shared = staged(shared.join(asked.select("sig"), "sig").select("sig", "node"), "distinct-signatures")
+    ranks = sizes.select("node", "apart")
+    lead = F.min(F.struct("apart", "node")).over(by_sig)
+    stars = (
+        shared.join(ranks, "node").withColumn("lead", lead)
+        .groupBy("node").agg(F.min("lead").alias("lead")).where("node <> lead.node")
     )
-    # sets with the fewest n-grams of their own are nearest to what a group was copied from
-    stars = shared.groupBy("node").agg(F.min("lead").alias("lead")).where("node <> lead.node")
     tested = staged(
         stars.select(*ordered(F.col("lead.node"), F.col("node"))).distinct(), "tested"
     )
     links = staged(linked(tested, sizes, segments, percent), "links")
-    shared, leaders = shared.select("sig", "node"), 1
-    while True:
-        labels = staged(
-            near.join(connected_components(links), "node", "left").select(
-                "node", F.coalesce("component", "node").alias("comp")
-            ),
-            "labels",
-        )
-        placed = shared.join(labels, "node")
-        spans = placed.groupBy("sig").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")
-        ).where("lo <> hi")
-        if leaders > 1:
-            spans = spans.where(F.col("members") > leaders // 4)
-        shared = staged(placed.join(spans.select("sig"), "sig").select("sig", "node"), "open-signatures")
+    for leaders in (1, 4):
+        shared, spans = open_signatures(shared, near, links, done=leaders // 4)
         if shared.isEmpty():
             break
-        members = shared.join(labels, "node").join(sizes, "node")
-        rank = F.row_number().over(by_sig.orderBy("u", "node"))
+        members = shared.join(sizes.select("node", "n", "apart"), "node")
+        rank = F.row_number().over(by_sig.orderBy("apart", "node"))
         heads = members.withColumn("rank", rank).where(F.col("rank") <= leaders).select(
             "sig", F.col("node").alias("head"), F.col("comp").alias("head_comp"),
-            F.col("n").alias("head_n"), F.col("u").alias("head_u"),
+            F.col("n").alias("head_n"),
         )
+        alike = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
         pairs = staged(
             members.join(heads, "sig")
-            .where((F.col("comp") != F.col("head_comp")) & may_link(percent, "n", "u", "head_n", "head_u"))
+            .where((F.col("comp") != F.col("head_comp")) & alike)
             .select(*ordered(F.col("head"), F.col("node")))
             .distinct()
             .join(tested, ["a", "b"], "left_anti"),
@@ -376,7 +484,15 @@ def jaccard_groups(
         )
         tested = staged(tested.union(pairs), "tested")
         links = staged(links.union(linked(pairs, sizes, segments, percent)), "links")
-        leaders *= 4
+    shared, spans = open_signatures(shared, near, links, done=4)
+    if not shared.isEmpty():
+        pairs = staged(
+            block_pairs(shared.join(sizes.select("node", "n", "odd"), "node"), spans, percent)
+            .distinct()
+            .join(tested, ["a", "b"], "left_anti"),
+            "pairs",
+        )
+        links = staged(links.union(linked(pairs, sizes, segments, percent)), "links")
     roots = connected_components(links)
     return sets.join(roots, "node", "left").select(
         "doc_id", *keys, "n_shingles", F.coalesce("component", "node").alias("comp")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -232,3 +233,37 @@ def test_texts_whose_short_hashes_collide(spark, make_docs):
     docs = make_docs([(None, pair.a), (None, pair.b), (1, common)]).select("doc_id", "text")
     removed = {r.text: r.n_removed for r in substrings.remove_repeats(docs, 35).collect()}
     assert removed == {pair.a: 40, pair.b: 0, common: 40}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 400), min_size=1), st.sets(st.integers(0, 400), min_size=1))
+def test_sketches_never_claim_too_many_differences(a, b):
+    spread = [np.array(sorted((x * 0x9E3779B97F4A7C15) % 2**64 for x in s), np.uint64) for s in (a, b)]
+    sketches = [jaccard.odd_sketch(x) for x in spread]
+    assert jaccard.fewest_differences(*sketches) == jaccard.fewest_differences(*sketches[::-1])
+    assert jaccard.fewest_differences(*sketches) <= len(a ^ b)
+    assert jaccard.fewest_differences(sketches[0], sketches[0]) == 0
+
+
+@pytest.mark.parametrize("block", [3, 8, 2048])
+def test_blocks_of_a_signature_lose_no_pair(spark, block):
+    rng = np.random.default_rng(7)
+    sets, rows = {}, []
+    base = rng.integers(0, 2**63, 130, dtype=np.uint64)
+    for node in range(40):
+        size = int(rng.choice([50, 63, 66, 120]))
+        own = rng.integers(0, 2**63, int(rng.integers(0, 12)), dtype=np.uint64)
+        sets[node] = np.unique(np.concatenate([base[:size], own]))
+        for sig in {node % 3, 3 + node % 2}:
+            rows.append((sig, node, node % 4, len(sets[node]), bytearray(jaccard.odd_sketch(sets[node]).tobytes())))
+    members = spark.createDataFrame(rows, "sig long, node long, comp long, n long, odd binary")
+    spans = members.groupBy("sig").count().withColumnRenamed("count", "members")
+    have = {(r.a, r.b) for r in jaccard.block_pairs(members, spans, 80, block).collect()}
+    for a, b in itertools.combinations(range(40), 2):
+        meet = (a - b) % 3 == 0 or (a - b) % 2 == 0
+        common = len(np.intersect1d(sets[a], sets[b]))
+        links = 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common)
+        if meet and a % 4 != b % 4 and links:
+            assert (a, b) in have
+        if not meet or a % 4 == b % 4:
+            assert (a, b) not in have

@@ -63,10 +63,24 @@ def job_stages(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _JOBS.pop():
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(hadoop).delete(place, True)
+        delete_paths(spark, *_JOBS.pop())
+
+
+def delete_paths(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that no later step reads."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(hadoop).delete(place, True)
+
+
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Like ``staged``, with the folder, for a table that a loop deletes once it has the next."""
+    path = scratch_path(df.sparkSession, name)
+    if _JOBS:
+        _JOBS[-1].append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def staged(df: DataFrame, name: str = "stage", by: Sequence[str] = ()) -> DataFrame:

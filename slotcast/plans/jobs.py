@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotcast.functions.masks import LOAD_FLOOR, WARM_LOAD_FLOOR
+from slotcast.operators.blocks import KEYS
 from slotcast.operators.grid import fixed_grid
 from slotcast.session import job_stages, staged
 from slotcast.sinks import tables as sinks
 from slotcast.sources.tables import history_first, marker, since
 
-from . import accuracy, deviation, features, load, matrix, models, publish, weather
+from . import accuracy, boosting, deviation, features, load, matrix, publish, weather
 
 # First slot of the training grid, first training origin, days of grid ahead.
 TRAINING_START = "2011-04-01 00:00:00"
@@ -85,12 +86,14 @@ def train_job(
     floor: float = LOAD_FLOOR,
     warm_floor: float = WARM_LOAD_FLOOR,
     rounds: int | None = None,
-    depth: int | None = None,
-    parallelism: int = 4,
-) -> list[str]:
-    """Refresh the snapshots, build the training matrix, fit and store the models.
-
-    A job can be repeated on the same day: it replaces that day's snapshots as a whole.
+    growth: Sequence[boosting.Growth] = boosting.GROWTH,
+    by: Sequence[str] = KEYS,
+) -> str:
+    """Refresh the snapshots, build the training matrix, grow and store the models.
+
+    Every series has models of its own, or every value of the columns ``by``. The models
+    are one table, a row per series and horizon; its folder is returned. A job can be
+    repeated on the same day: it replaces that day's snapshots and models as a whole.
     """
     version = _midnight(as_of)[:10]
     with job_stages(history.sparkSession):
@@ -106,8 +109,8 @@ def train_job(
 
         frame = staged(since(features.feature_frame(gridded, climate), first_origin), "features")
         rows = matrix.horizon_matrix(frame, horizons, before=_midnight(as_of))
-        stored = models.stage_matrix(rows)
-        return models.train_models(stored, horizons, store.models, rounds, depth, parallelism)
+        grown = boosting.train(staged(rows, "matrix"), by, growth, rounds)
+        return sinks.write_snapshot(grown, store.models, version, replace=True)
 
 
 def forecast_job(
@@ -123,6 +126,7 @@ def forecast_job(
     weather_history: DataFrame | None = None,
     source: str = "load",
     history: DataFrame | None = None,
+    by: Sequence[str] = KEYS,
 ) -> DataFrame | None:
     """Forecast the series that have new data; None when no series has.
 
@@ -147,9 +151,10 @@ def forecast_job(
     recent = matrix.horizon_matrix(
         frame, horizons, with_target=False, after=_midnight(as_of, -1)
     )
-    newest = staged(publish.newest_origins(recent, as_of), "newest", ["horizon"])
+    newest = publish.newest_origins(recent, as_of)
     created = str(datetime.fromisoformat(as_of) + timedelta(minutes=1))
-    predictions = models.predict(newest, horizons, store.models)
+    stored = sinks.newest_snapshot(frame.sparkSession, store.models)
+    predictions = boosting.forecast(newest, stored, by).select(*KEYS, "datetime", "horizon", "forecast")
     records = staged(publish.forecast_records(predictions, created), "records")
 
     sinks.insert_ignore(records, store.forecasts, sinks.REVISION_KEY)

@@ -118,15 +118,19 @@ REFRESHED = f"""
     SELECT series_id, datetime, block_load FROM fed WHERE datetime >= {REFRESH}"""
 
 COMPARED = f"""
-    SELECT c.series_id, c.date, c.start_time, c.end_time,
-        {cut('p.forecast', 'previous_revision_forecast')},
-        {cut('c.forecast', 'current_revision_forecast')},
-        {cut('abs(c.forecast - p.forecast)', 'deviation')},
-        CASE WHEN abs(c.forecast - p.forecast) > 30 THEN 1 ELSE 0 END AS deviation_value,
-        c.created_at, c.revision_no
-    FROM placed c JOIN placed p ON p.series_id = c.series_id AND p.number = c.number - 1
-        AND p.date = c.date AND p.start_time = c.start_time AND p.end_time = c.end_time
-    WHERE c.place <= 17 AND p.place BETWEEN 2 AND 18"""
+    SELECT series_id, date, start_time, end_time,
+        {cut('previous', 'previous_revision_forecast')},
+        {cut('forecast', 'current_revision_forecast')},
+        {cut('abs(forecast - previous)', 'deviation')},
+        CASE WHEN abs(forecast - previous) > 30 THEN 1 ELSE 0 END AS deviation_value,
+        created_at, revision_no
+    FROM (
+        SELECT *, lag(forecast) OVER slot AS previous, lag(place) OVER slot AS previous_place,
+            lag(number) OVER slot AS previous_number
+        FROM placed
+        WINDOW slot AS (PARTITION BY series_id, date, start_time, end_time ORDER BY number)
+    )
+    WHERE place <= 17 AND previous_place BETWEEN 2 AND 18 AND previous_number = number - 1"""
 
 EXTRA = {
     "pairs": f"""
@@ -268,7 +272,7 @@ FINAL = {
     SELECT * EXCLUDE (forecast), {cut('forecast')} FROM forecast_live f
     WHERE EXISTS (SELECT 1 FROM last_two r
         WHERE r.series_id = f.series_id AND r.created_at = f.created_at)""",
-    "revision_deviation": f"{COMPARED} AND c.created_at = c.last_created",
+    "revision_deviation": f"{COMPARED} AND created_at = last_created",
     "deviation_history": COMPARED,
     "latest_per_horizon": f"""
     SELECT series_id, horizon, date, start_time, created_at, {cut('forecast')}

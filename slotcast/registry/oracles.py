@@ -165,12 +165,12 @@ def _stored(value: str, source: str) -> str:
 
 
 def _lagged_origin() -> str:
-    first, last = v.REVISION_HORIZONS[0], v.REVISION_HORIZONS[-1]
+    first, last = 4, 160  # stated here on its own, so that a cut in the views would show
     return f"""
     SELECT series_id, datetime, load_stb, horizon, past_loads[horizon - {first} + 1] AS origin_load
     FROM (
         SELECT series_id, datetime, load_stb,
-            [{', '.join(f'lag(block_load, {h}) OVER s' for h in v.REVISION_HORIZONS)}] AS past_loads
+            [{', '.join(f'lag(block_load, {h}) OVER s' for h in range(first, last + 1))}] AS past_loads
         FROM targets WINDOW s AS (PARTITION BY series_id ORDER BY datetime)
     ), (SELECT CAST(unnest(range({first}, {last + 1})) AS INTEGER) AS horizon)"""
 

@@ -26,7 +26,7 @@ HOLIDAYS = ("2024-01-01", "2024-01-15", "2024-01-26")
 LOAD_FLOOR = 5.0
 PRICE_FLOOR, WARM_PRICE_FLOOR = 42_000.0, 100_000.0
 SCORED_HORIZONS = (4, 8, 24, 32, 48, 60)
-REVISION_HORIZONS = range(4, 41)
+REVISION_HORIZONS = range(4, 161)
 FEEDS = ("primary", "feed5", "feed1")
 
 

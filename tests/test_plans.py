@@ -11,7 +11,7 @@ import pytest
 from series_vectors import START, column
 from pyspark.sql import functions as F
 
-from slotcast.plans import accuracy, deviation, features, jobs, load, matrix, models, publish
+from slotcast.plans import accuracy, boosting, deviation, features, jobs, load, matrix, models, publish
 from slotcast.plans.weather import merge_weather
 from slotcast.registry.queries import REGISTRY
 from slotcast.schema import FORECAST, LOAD, WEATHER_COLUMNS, conform
@@ -354,12 +354,12 @@ def test_jobs_end_to_end(spark, series, folder):
     known = loads.filter(F.col("datetime") < F.lit(datetime(2024, 1, 14, 12)).cast("timestamp_ntz"))
     none = spark.createDataFrame([], "date date")
     for _ in range(2):
-        paths = jobs.train_job(
+        path = jobs.train_job(
             known, known, climate.limit(0), [climate, ahead], none, store, as_of,
             horizons=[4, 24], start="2024-01-01 00:00:00", first_origin="2024-01-01 00:00:00",
-            warm_floor=0, rounds=2, depth=2,
+            warm_floor=0, rounds=2, growth=[boosting.Growth(4, 160, 0.3, 2, 5)],
         )
-        assert len(paths) == 2
+        assert {r.horizon for r in spark.read.parquet(path).collect()} == {4, 24}
     assert sinks.read_snapshot(spark, store.load, "2024-01-14").count() == 13 * 96
 
     nothing = jobs.stored_marker(spark, store)
@@ -398,3 +398,12 @@ def test_jobs_end_to_end(spark, series, folder):
         jobs.accuracy_job(demand, store, "2024-01-14 23:00:00")
     scored = spark.read.parquet(store.accuracy)
     assert scored.count() == 2 and scored.filter("mae > 0").count() == 2
+
+
+def test_every_revision_is_linked_to_the_one_before_it(spark):
+    times = [START + timedelta(minutes=m) for m in (1, 16, 1441, 1456, 7 * 1440, 7 * 1440 + 15, 7 * 1440 + 15)]
+    rows = [("a", t) for t in times] + [("b", times[2]), ("c", None)]
+    stored = spark.createDataFrame(rows, "series_id string, created_at timestamp_ntz")
+    have = sorted(tuple(r) for r in deviation.previous_revisions(stored).collect())
+    single = sorted(set(times))
+    assert have == [("a", new, old) for old, new in zip(single, single[1:])]

@@ -45,9 +45,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotcast.llm.common import join_small, staged
+from slotcast.llm.common import join_small, staged, stored
 from slotcast.llm.components import connected_components
 from slotcast.llm.tokens import Remembered
+from slotcast.session import job_stages
 
 #: Fragments of the verification.
 FRAGMENTS = 16
@@ -193,9 +194,10 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def odd_sketch(grams: np.ndarray) -> np.ndarray:
     """One bit per place for whether an odd number of n-grams falls there, as words of 64.
 
+    There are between 0.7 and 1.4 places per n-gram.
     The sketches of two sets differ in no more places than the sets differ in n-grams.
     """
-    places = max(64, 1 << (len(grams) - 1).bit_length())
+    places = max(64, 1 << (7 * len(grams) // 10).bit_length())
     counts = np.bincount((grams & U64(places - 1)).astype(np.int64), minlength=places)
     return np.packbits((counts & 1).astype(np.uint8)).view(U64)
 
@@ -214,31 +216,46 @@ def fewest_differences(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(halved(a, width) ^ halved(b, width)).sum())
 
 
-def fragments_of(docs: DataFrame, words: int) -> DataFrame:
-    """(node, grams, odd): each set's segments, six bytes of hash per n-gram, and its sketch."""
+def _once_a_batch(docs: DataFrame, words: int, build_row, name: str, kind: str) -> DataFrame:
+    """(node, ``name``) of the sets of (text), those of copies once a batch."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [])
-            seen = set()
+            rows = {}
             for text in batch.column(0).to_pylist():
                 grams = ngram_set(text, words)
                 node = int(node_of(grams).view(np.int64)[0])
-                if not len(grams) or node in seen:
-                    continue
-                seen.add(node)
-                low = grams.view(np.uint8).reshape(-1, 8)[:, :6]
-                edges = np.searchsorted(grams >> U64(60), np.arange(FRAGMENTS + 1, dtype=U64))
-                rows[0].append(node)
-                rows[1].append([low[edges[f] : edges[f + 1]].tobytes() for f in range(FRAGMENTS)])
-                rows[2].append(odd_sketch(grams).tobytes())
+                if len(grams) and node not in rows:
+                    rows[node] = build_row(grams)
+            arrow = pa.list_(pa.binary()) if kind.startswith("array") else pa.binary()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.list_(pa.binary())),
-                 pa.array(rows[2], pa.binary())],
-                ["node", "grams", "odd"],
+                [pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), arrow)], ["node", name]
             )
 
-    return docs.select("text").mapInArrow(build, "node long, grams array<binary>, odd binary")
+    return docs.select("text").mapInArrow(build, f"node long, {name} {kind}")
+
+
+def sketches_of(docs: DataFrame, words: int) -> DataFrame:
+    """(node, odd): the sketch of each set."""
+    return _once_a_batch(docs, words, lambda grams: odd_sketch(grams).tobytes(), "odd", "binary")
+
+
+def fragments_of(docs: DataFrame, words: int) -> DataFrame:
+    """(node, grams): each set's segments, six bytes of hash per n-gram."""
+
+    def segments(grams: np.ndarray) -> list[bytes]:
+        low = grams.view(np.uint8).reshape(-1, 8)[:, :6]
+        edges = np.searchsorted(grams >> U64(60), np.arange(FRAGMENTS + 1, dtype=U64))
+        return [low[edges[f] : edges[f + 1]].tobytes() for f in range(FRAGMENTS)]
+
+    return _once_a_batch(docs, words, segments, "grams", "array<binary>")
+
+
+def single_nodes(found: DataFrame, wanted: int, name: str) -> DataFrame:
+    """``found`` with one row per node; ids on several rows bring sets more than once."""
+    if found.count() <= wanted:
+        return found
+    return staged(found.groupBy("node").agg(F.first(name).alias(name)), f"single-{name}")
 
 
 def six_bytes(raw: bytes) -> np.ndarray:
@@ -273,12 +290,13 @@ def least_difference(a: pa.Array, b: pa.Array) -> pa.Array:
     )
 
 
-def linked(pairs: DataFrame, sizes: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose similarity is at least ``percent`` of 100.
 
-    Pairs whose sizes or sketches already differ too much are left out before their sets
-    are fetched. With union u and common n-grams c, u - c of them are in one set only, and
-    100 * c >= percent * u means (100 + percent) * (u - c) <= (100 - percent) * (na + nb).
+    Pairs whose sizes or sketches already differ too much are left out, and only the sets
+    of the rest are made again from their texts. With union u and common n-grams c, u - c
+    of them are in one set only, and 100 * c >= percent * u means
+    (100 + percent) * (u - c) <= (100 - percent) * (na + nb).
     """
     ends = [
         sizes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"o{x}"))
@@ -290,8 +308,15 @@ def linked(pairs: DataFrame, sizes: DataFrame, segments: DataFrame, percent: int
         pairs.join(ends[0], "a").join(ends[1], "b").where(alike).where(near).select("a", "b", "na", "nb"),
         "fitting-pairs",
     )
-    left = segments.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-    right = segments.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
+    nodes = fitting.select(F.col("a").alias("node")).union(fitting.select("b")).distinct()
+    wanted = staged(sizes.select("node", "doc_id").join(nodes, "node", "left_semi"), "fitting-nodes")
+    fetched = staged(
+        fragments_of(join_small(docs, wanted.select("doc_id"), ["doc_id"], "left_semi"), words),
+        "fitting-sets",
+    )
+    sets = single_nodes(fetched, wanted.count(), "grams")
+    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
+    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
     part = fitting.join(left, "a").join(right, "b").withColumn("parts", partial_overlaps("ga", "gb"))
     both = F.aggregate("parts", F.lit(0).cast("long"), lambda x, y: x + y)
     whole = part.select("a", "b", "na", "nb", both.alias("both"))
@@ -407,96 +432,88 @@ def jaccard_groups(
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be above 50 and at most 100")
-    sets = staged(document_sets(docs, words, keys), "sets")
-    by_sig = W.partitionBy("sig")
-    shared = staged(
-        signatures(docs, words, percent)
-        .select("sig", "node", F.min("node").over(by_sig).alias("lo"),
-                F.max("node").over(by_sig).alias("hi"))
-        .where("lo <> hi")
-        .select("sig", "node"),
-        "shared-signatures",
-    )
-    # a set that shares many of its signatures is close to what its group was copied from
-    near = staged(shared.groupBy("node").agg(F.count("*").alias("sigs")), "near-nodes")
-    samples = staged(
-        join_small(sets.where("node is not null"), near.select("node"), ["node"], "left_semi")
-        .groupBy("node")
-        .agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id")),
-        "near-samples",
-    )
-    fetched = staged(
-        fragments_of(
-            join_small(docs.select("doc_id", "text"), samples.select("doc_id"), ["doc_id"], "left_semi"),
-            words,
-        ),
-        "segments",
-    )
-    segments = fetched.join(near.select("node"), "node", "left_semi")
-    if fetched.count() > samples.count():  # ids on several rows bring sets more than once
-        segments = staged(
-            segments.groupBy("node").agg(F.first("grams").alias("grams"), F.first("odd").alias("odd")),
-            "single-segments",
+    with job_stages(docs.sparkSession):  # only the result stays
+        sets = staged(document_sets(docs, words, keys), "sets")
+        by_sig = W.partitionBy("sig")
+        shared = staged(
+            signatures(docs, words, percent)
+            .select("sig", "node", F.min("node").over(by_sig).alias("lo"),
+                    F.max("node").over(by_sig).alias("hi"))
+            .where("lo <> hi")
+            .select("sig", "node"),
+            "shared-signatures",
         )
-    sizes = staged(
-        samples.select("node", "n")
-        .join(segments.select("node", "odd"), "node")
-        .join(near, "node")
-        .select("node", "n", "odd", (-F.col("sigs") / F.col("n")).alias("apart")),
-        "near-sizes",
-    )
-    # signatures of the same sets ask the same question; one of them stays
-    groups = shared.groupBy("sig").agg(
-        F.count("*").alias("members"),
-        F.bit_xor(F.xxhash64("node")).alias("one"),
-        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
-    )
-    asked = groups.groupBy("members", "one", "two").agg(F.min("sig").alias("sig"))
-    shared = staged(shared.join(asked.select("sig"), "sig").select("sig", "node"), "distinct-signatures")
-    ranks = sizes.select("node", "apart")
-    lead = F.min(F.struct("apart", "node")).over(by_sig)
-    stars = (
-        shared.join(ranks, "node").withColumn("lead", lead)
-        .groupBy("node").agg(F.min("lead").alias("lead")).where("node <> lead.node")
-    )
-    tested = staged(
-        stars.select(*ordered(F.col("lead.node"), F.col("node"))).distinct(), "tested"
-    )
-    links = staged(linked(tested, sizes, segments, percent), "links")
-    for leaders in (1, 4):
-        shared, spans = open_signatures(shared, near, links, done=leaders // 4)
-        if shared.isEmpty():
-            break
-        members = shared.join(sizes.select("node", "n", "apart"), "node")
-        rank = F.row_number().over(by_sig.orderBy("apart", "node"))
-        heads = members.withColumn("rank", rank).where(F.col("rank") <= leaders).select(
-            "sig", F.col("node").alias("head"), F.col("comp").alias("head_comp"),
-            F.col("n").alias("head_n"),
+        # a set that shares many of its signatures is close to what its group was copied from
+        near = staged(shared.groupBy("node").agg(F.count("*").alias("sigs")), "near-nodes")
+        samples = staged(
+            join_small(sets.where("node is not null"), near.select("node"), ["node"], "left_semi")
+            .groupBy("node")
+            .agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id")),
+            "near-samples",
         )
-        alike = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
-        pairs = staged(
-            members.join(heads, "sig")
-            .where((F.col("comp") != F.col("head_comp")) & alike)
-            .select(*ordered(F.col("head"), F.col("node")))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti"),
-            "pairs",
+        texts = docs.select("doc_id", "text")
+        sketched = staged(
+            sketches_of(join_small(texts, samples.select("doc_id"), ["doc_id"], "left_semi"), words), "sketches"
         )
-        tested = staged(tested.union(pairs), "tested")
-        links = staged(links.union(linked(pairs, sizes, segments, percent)), "links")
-    shared, spans = open_signatures(shared, near, links, done=4)
-    if not shared.isEmpty():
-        pairs = staged(
-            block_pairs(shared.join(sizes.select("node", "n", "odd"), "node"), spans, percent)
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti"),
-            "pairs",
+        sizes = staged(
+            samples.join(single_nodes(sketched, samples.count(), "odd"), "node")
+            .join(near, "node")
+            .select("node", "n", "doc_id", "odd", (-F.col("sigs") / F.col("n")).alias("apart")),
+            "near-sizes",
         )
-        links = staged(links.union(linked(pairs, sizes, segments, percent)), "links")
-    roots = connected_components(links)
-    return sets.join(roots, "node", "left").select(
-        "doc_id", *keys, "n_shingles", F.coalesce("component", "node").alias("comp")
-    )
+        # signatures of the same sets ask the same question; one of them stays
+        groups = shared.groupBy("sig").agg(
+            F.count("*").alias("members"),
+            F.bit_xor(F.xxhash64("node")).alias("one"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+        )
+        asked = groups.groupBy("members", "one", "two").agg(F.min("sig").alias("sig"))
+        shared = staged(shared.join(asked.select("sig"), "sig").select("sig", "node"), "distinct-signatures")
+        ranks = sizes.select("node", "apart")
+        lead = F.min(F.struct("apart", "node")).over(by_sig)
+        stars = (
+            shared.join(ranks, "node").withColumn("lead", lead)
+            .groupBy("node").agg(F.min("lead").alias("lead")).where("node <> lead.node")
+        )
+        tested = staged(
+            stars.select(*ordered(F.col("lead.node"), F.col("node"))).distinct(), "tested"
+        )
+        links = staged(linked(tested, sizes, texts, words, percent), "links")
+        for leaders in (1, 4):
+            shared, spans = open_signatures(shared, near, links, done=leaders // 4)
+            if shared.isEmpty():
+                break
+            members = shared.join(sizes.select("node", "n", "apart"), "node")
+            rank = F.row_number().over(by_sig.orderBy("apart", "node"))
+            heads = members.withColumn("rank", rank).where(F.col("rank") <= leaders).select(
+                "sig", F.col("node").alias("head"), F.col("comp").alias("head_comp"),
+                F.col("n").alias("head_n"),
+            )
+            alike = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
+            pairs = staged(
+                members.join(heads, "sig")
+                .where((F.col("comp") != F.col("head_comp")) & alike)
+                .select(*ordered(F.col("head"), F.col("node")))
+                .distinct()
+                .join(tested, ["a", "b"], "left_anti"),
+                "pairs",
+            )
+            tested = staged(tested.union(pairs), "tested")
+            links = staged(links.union(linked(pairs, sizes, texts, words, percent)), "links")
+        shared, spans = open_signatures(shared, near, links, done=4)
+        if not shared.isEmpty():
+            pairs = staged(
+                block_pairs(shared.join(sizes.select("node", "n", "odd"), "node"), spans, percent)
+                .distinct()
+                .join(tested, ["a", "b"], "left_anti"),
+                "pairs",
+            )
+            links = staged(links.union(linked(pairs, sizes, texts, words, percent)), "links")
+        roots = connected_components(links)
+        groups = sets.join(roots, "node", "left").select(
+            "doc_id", *keys, "n_shingles", F.coalesce("component", "node").alias("comp")
+        )
+        return stored(groups, "jaccard-groups")[0]
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

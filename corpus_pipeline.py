@@ -46,16 +46,24 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if repeated.isEmpty():
         return kept.select(*docs.columns)
     single = join_small(kept, repeated, key, "left_anti")
-    once = join_small(kept, repeated, key, "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.union(once).select(*docs.columns)
+    # of rows equal in id and text the first by their other columns, as JSON, stays
+    order = F.to_json(F.struct(*docs.columns))
+    rows = join_small(kept, repeated, key, "left_semi").groupBy("doc_id", "text").agg(
+        F.min_by(F.struct(*docs.columns), order).alias("first")
+    )
+    once = rows.select("first.*")
+    return single.select(*docs.columns).union(once)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets masked and ``n_chars`` set anew where it was."""
-    masked = secrets.redact_secrets(docs.withColumnRenamed("n_chars", "_before").withColumn("_text", F.col("text")))
-    changed = ~F.col("text").eqNullSafe(F.col("_text"))
+    before, text = fresh("_before", docs.columns), fresh("_text", docs.columns)
+    masked = secrets.redact_secrets(
+        docs.withColumnRenamed("n_chars", before).withColumn(text, F.col("text"))
+    )
+    changed = ~F.col("text").eqNullSafe(F.col(text))
     return masked.withColumn(
-        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("_before"))
+        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col(before))
     ).select(*docs.columns)
 
 

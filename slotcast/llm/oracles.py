@@ -26,7 +26,8 @@ targets AS (
 planned AS (
   SELECT s.doc_id, s.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('17|' || coalesce(s.doc_id::VARCHAR, '~') || '|' || md5(coalesce(s.text, ''))), 1, 13))::BIGINT
+         ('0x' || substr(md5('17|' || coalesce(s.doc_id::VARCHAR, '~') || '|' || md5(coalesce(s.text, ''))
+           || '|' || row_number() OVER (PARTITION BY s.doc_id, coalesce(s.text, ''))), 1, 13))::BIGINT
            / 4503599627370496.0::DOUBLE AS u
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,

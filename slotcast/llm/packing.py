@@ -30,6 +30,7 @@ from slotcast.llm.tokens import word_encoder
 CAPACITY = 4096
 #: Text bytes of one packing group; a group is held in memory by one task.
 GROUP_BYTES = 8 << 20
+ROW_BYTES = 64
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 PLACED = (
@@ -134,8 +135,10 @@ def pack_pieces(pieces: DataFrame, groups: int, capacity: int = CAPACITY, seed:
 
 
 def group_count(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> int:
-    """Groups of about ``group_bytes`` of text each."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    """Groups of about ``group_bytes`` of text each; a row counts as ``ROW_BYTES`` more,
+    so that any number of short or empty texts is dealt out too.
+    """
+    total = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
     return max(1, round(total / group_bytes))
 
 

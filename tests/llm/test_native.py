@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -209,3 +210,43 @@ def test_surrogates_of_more_forms(make_docs):
     numbers = re.sub("[^0-9abc]", "", out[8].text)
     with_code, bare, round_ = re.fullmatch("a(.*)b(.*)c(.*)", numbers).groups()
     assert with_code == "1" + bare and bare == round_ == re.sub("[^0-9]", "", new[0]) != "5551234567"
+
+
+def test_equal_rows_are_drawn_one_by_one(make_docs, spark):
+    rows = [(5, "one two three four", "a")] * 400 + [(None, "x y", "a")] * 60 + [(i + 10, "w " * 300, "b") for i in range(20)]
+    docs = make_docs(rows)
+    plan = mixing.mixing_plan(docs.repartition(7))
+    have = plan.groupBy("source").agg(
+        F.first("target").alias("target"), F.sum(F.col("size") * F.col("copies")).alias("taken")
+    ).collect()
+    for r in have:
+        assert abs(r.taken - r.target) <= max(0.15 * r.target, 600)
+    assert sorted(map(str, plan.select("doc_id", "copies").collect())) == sorted(
+        map(str, mixing.mixing_plan(docs.coalesce(1)).select("doc_id", "copies").collect())
+    )
+    assert len({r.copies for r in plan.where("doc_id = 5").collect()}) == 2
+    odd = docs.selectExpr("*", "1 as _nth", "2 as _digest", "3 as _partition", "4 as _before", "5 as _n")
+    assert mixing.mixing_plan(odd).count() == len(rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_many_sources_are_ranked_as_in_one_list(spark, seed):
+    draw = random.Random(seed)
+    names = [None] + [f"s{i:03}" for i in range(draw.choice([3, 40, 90]))]
+    sizes = {n: draw.choice([0, 1, 5, 40, 1000]) for n in names}
+    sized = spark.createDataFrame([(n, v) for n, v in sizes.items()] * 2, "source string, size long").repartition(5)
+    have = {r.source: (r.source_size, r.target) for r in mixing.source_targets(sized).collect()}
+    order = sorted(names, key=lambda n: (n is None, n))
+    weight = {n: i % 3 + 1 for i, n in enumerate(order)}
+    total, open_, level = 2 * sum(sizes.values()), set(names), 0.0
+    capped = set()
+    while open_:
+        level = (total - sum(6 * sizes[n] for n in capped)) / sum(weight[n] for n in open_)
+        over = {n for n in open_ if level * weight[n] > 6 * sizes[n]}
+        if not over:
+            break
+        capped |= over
+        open_ -= over
+    for n in names:
+        want = 6 * sizes[n] if n in capped else level * weight[n]
+        assert have[n][0] == 2 * sizes[n] and have[n][1] == pytest.approx(want, rel=1e-9, abs=1e-9)

@@ -162,3 +162,8 @@ def test_packing_edges(make_docs, library):
     crc = packed.where("doc_id = 1").select(F.crc32("ids")).first()[0]
     assert crc == zlib.crc32((2).to_bytes(4, "little"))
     assert packing.pack_documents(docs.limit(0), WORD).count() == 0
+
+
+def test_short_texts_are_dealt_to_groups_too(make_docs):
+    docs = make_docs([None, "", "x"] * 50)
+    assert packing.group_count(docs, group_bytes=10 * packing.ROW_BYTES) == 15

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from series_vectors import START
 from slotcast.operators.grid import fixed_grid, own_grid
-from slotcast.plans import load, matrix, models
+from slotcast.plans import boosting, load, matrix, models
 from slotcast.registry import queries
 
 
@@ -98,28 +98,31 @@ def test_grids_use_all_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_gbt_forecast_trains_all_horizons_as_the_table_says(spark, sf_dir, monkeypatch):
-    asked, every = {"matrix": []}, list(range(4, 161))
-    build = matrix.horizon_matrix
+def test_gbt_forecast_trains_all_horizons_with_the_settings_of_the_table(spark, sf_dir, monkeypatch):
+    asked, every = {}, list(range(4, 161))
+    build, forecast = matrix.horizon_matrix, boosting.forecast
 
-    def horizon_matrix(frame, horizons, **options):
-        asked["matrix"].append(list(horizons))
+    def horizon_matrix(frame, horizons=matrix.HORIZONS, **options):
+        asked.setdefault("matrix", []).append(list(horizons))
         return build(frame, horizons, **options)
 
-    def train(rows, horizons, root, rounds=None, depth=None, parallelism=4):
-        asked.update(trained=list(horizons), rounds=rounds, depth=depth)
+    def train(rows, by=("series_id",), growth=boosting.GROWTH, rounds=None, seed=42):
+        asked.update(by=tuple(by), growth=growth, rounds=rounds)
+        return spark.createDataFrame([], "series_id string, horizon int, base double, trees array<struct<splits:array<struct<feature:int,reach:double>>,leaves:array<double>>>")
 
-    def predict(newest, horizons, root):
-        asked.update(predicted=list(horizons))
-        return newest.select("series_id", "datetime", "horizon", F.lit(1.0).alias("forecast"))
-
-    filled = spark.range(4, 161).select(F.col("id").cast("int").alias("horizon"))
     monkeypatch.setattr(queries, "staged", lambda df, *a: df)
     monkeypatch.setattr(matrix, "horizon_matrix", horizon_matrix)
-    monkeypatch.setattr(models, "stage_matrix", lambda df: filled)
-    monkeypatch.setattr(models, "train_models", train)
-    monkeypatch.setattr(models, "predict", predict)
-    queries.REGISTRY["gbt_forecast"](spark, sf_dir)
-    assert asked == {
-        "matrix": [every, every], "trained": every, "predicted": every, "rounds": None, "depth": None
-    }
+    monkeypatch.setattr(boosting, "train", train)
+    monkeypatch.setattr(boosting, "forecast", forecast)
+    queries.REGISTRY["gbt_forecast_3_rounds"](spark, sf_dir)
+    assert asked == {"matrix": [every, every], "by": ("series_id",), "growth": boosting.GROWTH, "rounds": 3}
+
+
+def test_settings_cover_every_horizon_once():
+    for h in matrix.HORIZONS:
+        assert sum(g.first <= h <= g.last for g in boosting.GROWTH) == 1
+        old = models.boosting_of(h)
+        new = next(g for g in boosting.GROWTH if g.first <= h <= g.last)
+        assert (old.step, old.depth, old.rounds) == (new.step, new.depth, new.rounds)
+    assert [g.l2 for g in boosting.GROWTH] == [0.5, 3.0, 3.0, 3.0, 3.0, 3.0, 3.0, 0.1]
+    assert [g.temperature for g in boosting.GROWTH] == [1.0, 1.0, 1.0, 1.0, 1.0, 0.8, 1.0, 1.0]

@@ -189,7 +189,52 @@ EXTRA = {
     FROM forecast_revisions QUALIFY place <= 18""",
 }
 
+N = len(FEATURES)
+RIDGE = {
+    # sums of all products of deviations from the mean, the target last
+    "feature_means": f"""
+    SELECT series_id, horizon, {", ".join(f"avg({f}) AS {f}" for f in (*FEATURES, "target"))}
+    FROM matrix GROUP BY series_id, horizon""",
+    "apart": f"""
+    SELECT x.series_id, x.horizon,
+        {", ".join(f"coalesce(x.{f} - m.{f}, 0.0::DOUBLE) AS {f}" for f in (*FEATURES, "target"))}
+    FROM matrix x JOIN feature_means m ON m.series_id = x.series_id AND m.horizon = x.horizon""",
+    "products": f"""
+    SELECT series_id, horizon, count(*) AS n,
+        {", ".join(f"sum({a} * {b}) / count(*) AS p{i}_{j}" for i, a in enumerate(FEATURES) for j, b in enumerate((*FEATURES, "target")) if i <= j)}
+    FROM apart GROUP BY series_id, horizon""",
+    "spread": f"""
+    SELECT p.*, [{", ".join(f"CASE WHEN p{i}_{i} > 1e-12 * (1 + coalesce(m.{f}, 0) ** 2) THEN sqrt(p{i}_{i}) ELSE 0 END" for i, f in enumerate(FEATURES))}] AS dev
+    FROM products p JOIN feature_means m USING (series_id, horizon)""",
+    "equations": f"""
+    SELECT series_id, horizon, dev, [{", ".join(
+        "[" + ", ".join(
+            f"CASE WHEN dev[{i + 1}] > 0 AND dev[{j + 1}] > 0 THEN p{min(i, j)}_{max(i, j)} / (dev[{i + 1}] * dev[{j + 1}]) ELSE 0 END"
+            + (" + 0.1" if i == j else "") for j in range(N)
+        ) + f", CASE WHEN dev[{i + 1}] > 0 THEN p{i}_{N} / dev[{i + 1}] ELSE 0 END]" for i in range(N)
+    )}] AS m
+    FROM spread""",
+    "solved": f"""
+    WITH RECURSIVE eliminated AS (
+        SELECT series_id, horizon, dev, 1 AS k, m FROM equations
+        UNION ALL
+        SELECT series_id, horizon, dev, k + 1, list_transform(m, lambda r, i: CASE
+            WHEN i = k THEN list_transform(r, lambda x: x / m[k][k])
+            ELSE list_transform(r, lambda x, j: x - r[k] / m[k][k] * m[k][j]) END)
+        FROM eliminated WHERE k <= {N})
+    SELECT series_id, horizon, dev, list_transform(m, lambda r: r[{N + 1}]) AS w FROM eliminated WHERE k = {N + 1}""",
+}
+
 FINAL = {
+    "ridge_weights": f"""
+    SELECT series_id, horizon, feature, {cut('weight')} FROM (
+        SELECT series_id, horizon, unnest([{", ".join(f"'{f}'" for f in FEATURES)}]) AS feature,
+            unnest(dev) AS dev, unnest(w) AS weight FROM solved) WHERE dev > 0""",
+    "ridge_error": f"""
+    SELECT series_id, horizon, {cut("avg(abs(x.target - (" + " + ".join(
+        f"CASE WHEN s.dev[{i + 1}] > 0 THEN s.w[{i + 1}] * x.{f} / s.dev[{i + 1}] ELSE 0 END" for i, f in enumerate(FEATURES)
+    ) + ")))", "mae")}, count(*) AS n
+    FROM apart x JOIN solved s USING (series_id, horizon) GROUP BY series_id, horizon""",
     "slot_load": f"SELECT series_id, datetime, {CALENDAR}, {_reals(LOAD)} FROM load_slot",
     "tumbling_mean": _series(LOAD, "demand_all"),
     "load_floor_mask": f"""
@@ -321,4 +366,4 @@ FINAL = {
     SELECT event_id, ts, user_id, event_type, {cut('value')} FROM events""",
 }
 
-ORACLES = {name: compose(sql, EXTRA) for name, sql in FINAL.items()}
+ORACLES = {name: compose(sql, {**EXTRA, **RIDGE}) for name, sql in FINAL.items()}

@@ -407,6 +407,10 @@ HEAVY = {
     "forecast_live",
     "forecast_revisions",
     "placed",
+    "matrix",
+    "apart",
+    "spread",
+    "solved",
 }
 
 

@@ -24,7 +24,7 @@ from slotcast.operators.ewm import ewm_means
 from slotcast.operators.fanout import fan_out
 from slotcast.operators.grid import fixed_grid, resample_mean
 from slotcast.operators.interpolate import upsample
-from slotcast.plans import accuracy, boosting, deviation, features, load, matrix, models, publish, weather
+from slotcast.plans import accuracy, boosting, deviation, features, load, matrix, models, publish, ridge, weather
 from slotcast.schema import WEATHER_COLUMNS
 from slotcast.session import scratch_path, staged
 from slotcast.sinks.tables import ignore_merge, upsert_merge
@@ -403,6 +403,26 @@ def _boosted(
     return publish.forecast_records(predictions, "2024-01-30 00:01:00")
 
 
+def _ridge(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    frame = staged(_frame(spark, sf_dir), "frame")
+    training = staged(matrix.horizon_matrix(frame, before=v.AS_OF), "matrix")
+    return training, staged(ridge.fit(training), "ridge")
+
+
+@query
+def ridge_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(ridge.weights(_ridge(spark, sf_dir)[1]))
+
+
+@query
+def ridge_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean absolute error of the fit per series and horizon."""
+    training, fits = _ridge(spark, sf_dir)
+    error = F.avg(F.abs(F.col("target") - F.col("forecast"))).alias("mae")
+    fitted = ridge.forecast(training, fits)
+    return comparable(fitted.groupBy(*KEYS, "horizon").agg(error, F.count("*").alias("n")))
+
+
 @query
 def gbt_forecast_3_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All horizons' trees of the first three rounds, grown together, per series.

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from slotcast.functions.masks import LOAD_FLOOR, WARM_LOAD_FLOOR
 from slotcast.operators.blocks import KEYS
 from slotcast.operators.grid import fixed_grid
+from slotcast.schema import ACCURACY, DEVIATION, FORECAST, FORECAST_LATEST
 from slotcast.session import job_stages, staged
+from slotcast.sinks import commits
 from slotcast.sinks import tables as sinks
-from slotcast.sources.tables import history_first, marker, since
+from slotcast.sources.tables import RETENTION_DAYS, history_first, marker, since
 
 from . import accuracy, boosting, deviation, features, load, matrix, publish, weather
 
@@ -29,6 +31,9 @@ FIRST_ORIGIN = "2017-01-01 00:00:00"
 DAYS_AHEAD = 3
 
 
+FORECASTS, LATEST, SCORES, CHANGES = "forecasts", "forecasts_latest", "accuracy", "deviations"
+
+
 class Store(NamedTuple):
     """Folders of the stored tables below one root."""
 
@@ -51,20 +56,9 @@ class Store(NamedTuple):
         return f"{self.root}/models"
 
     @property
-    def forecasts(self) -> str:
-        return f"{self.root}/forecasts"
-
-    @property
-    def latest(self) -> str:
-        return f"{self.root}/forecasts_latest"
-
-    @property
-    def accuracy(self) -> str:
-        return f"{self.root}/accuracy"
-
-    @property
-    def deviations(self) -> str:
-        return f"{self.root}/deviations"
+    def tables(self) -> str:
+        """Forecasts, scores and changes, which change together through one log."""
+        return f"{self.root}/tables"
 
 
 def _midnight(as_of: str, days: int = 0) -> str:
@@ -157,9 +151,13 @@ def forecast_job(
     predictions = boosting.forecast(newest, stored, by).select(*KEYS, "datetime", "horizon", "forecast")
     records = staged(publish.forecast_records(predictions, created), "records")
 
-    sinks.insert_ignore(records, store.forecasts, sinks.REVISION_KEY)
-    latest = publish.latest_records(records)
-    sinks.upsert(latest, store.latest)
+    latest = staged(publish.latest_records(records), "latest")
+
+    def publish_both(transaction: commits.Transaction) -> None:
+        commits.insert_ignore(transaction, FORECASTS, records, sinks.REVISION_KEY)
+        commits.upsert(transaction, LATEST, latest)
+
+    commits.attempt(records.sparkSession, store.tables, publish_both)
     stamp = created.replace(" ", "T").replace(":", "")
     sinks.export_csv(latest, f"{store.root}/export/csv/{stamp}")
     sinks.export_json(publish.payload_json(records, source), f"{store.root}/export/json/{stamp}")
@@ -171,17 +169,27 @@ def accuracy_job(
     demand: DataFrame, store: Store, as_of: str, options: Mapping[str, object] | None = None
 ) -> None:
     """Score the newest closed slots; slots scored before keep their first result."""
-    stored = demand.sparkSession.read.parquet(store.forecasts)
-    scored = accuracy.forecast_accuracy(demand, stored, as_of, **(options or {}))
-    with job_stages(demand.sparkSession):
-        sinks.insert_ignore(scored, store.accuracy)
+    spark = demand.sparkSession
+    stored = commits.read(spark, store.tables, FORECASTS, FORECAST)
+    with job_stages(spark):
+        scored = staged(accuracy.forecast_accuracy(demand, stored, as_of, **(options or {})), "scored")
+        commits.attempt(spark, store.tables, lambda t: commits.insert_ignore(t, SCORES, scored))
 
 
 def deviation_job(spark: SparkSession, store: Store, as_of: str | None = None) -> None:
     """Compare the two newest revisions of each series and append the result."""
-    stored = spark.read.parquet(store.forecasts)
+    stored = commits.read(spark, store.tables, FORECASTS, FORECAST)
     changes = deviation.revision_deviation(stored, as_of)
-    sinks.append(changes, store.deviations)
+    commits.attempt(spark, store.tables, lambda t: t.append(CHANGES, changes))
+
+
+def upkeep_job(spark: SparkSession, store: Store, as_of: str, days: int = RETENTION_DAYS, keep: int = 10) -> None:
+    """Drop the days past retention, merge small folders, and delete what no reader needs."""
+    first = _midnight(as_of, -days)[:10]
+    for table, schema in ((FORECASTS, FORECAST), (LATEST, FORECAST_LATEST), (SCORES, ACCURACY), (CHANGES, DEVIATION)):
+        commits.expire(spark, store.tables, table, first)
+        commits.compact(spark, store.tables, table, schema)
+    commits.clean(spark, store.tables, keep)
 
 
 def stored_marker(spark: SparkSession, store: Store) -> DataFrame:

@@ -250,7 +250,8 @@ FINAL = {
     SELECT series_id, datetime, {cut(f'block_load + CASE WHEN datetime >= {REFRESH} THEN 1 ELSE 0 END', 'block_load')}
     FROM fed""",
     "history_snapshot": f"{_series(LOAD, f'({REFRESHED})')} WHERE datetime < {TODAY}",
-    "retained_load": f"{_series(LOAD, 'slots')} WHERE datetime >= {TODAY} - INTERVAL '360 days'",
+    "retained_load": f"{_series(LOAD, 'slots')} WHERE datetime >= {TODAY} - INTERVAL '20 days'",
+    "compacted_retention": f"{_series(LOAD, 'slots')} WHERE datetime >= TIMESTAMP '2024-01-10'",
     "weather_priority_merge": _series(WEATHER_COLUMNS, "weather_merged"),
     "weather_scans": _weather_scans(),
     "demand_scan": f"""

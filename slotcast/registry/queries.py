@@ -27,7 +27,7 @@ from slotcast.operators.interpolate import upsample
 from slotcast.plans import accuracy, boosting, deviation, features, load, matrix, models, publish, ridge, weather
 from slotcast.schema import WEATHER_COLUMNS
 from slotcast.session import scratch_path, staged
-from slotcast.sinks.tables import ignore_merge, upsert_merge
+from slotcast.sinks import commits
 from slotcast.sources import tables
 from slotcast.sources import views as v
 from slotcast.streaming import ingest
@@ -93,7 +93,7 @@ def revision_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def retained_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(tables.retained(v.slot_loads(spark, sf_dir), v.AS_OF))
+    return comparable(tables.retained(v.slot_loads(spark, sf_dir), v.AS_OF, days=20))
 
 
 # --- slots, masks, set operations ----------------------------------------------------
@@ -507,8 +507,12 @@ def new_data_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def forecast_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = publish.latest_records(v.forecast_live(spark, sf_dir))
+    stored = staged(stored, "latest")
     is_old = F.col("created_at") < ntz(v.ACTUAL_UNTIL)
-    return comparable(upsert_merge(stored.filter(is_old), stored.filter(~is_old)))
+    root = scratch_path(spark, "store")
+    for part in (stored.filter(is_old), stored.filter(~is_old)):
+        commits.attempt(spark, root, lambda t, part=part: commits.upsert(t, "latest", part))
+    return comparable(commits.read(spark, root, "latest", stored.schema))
 
 
 @query
@@ -519,7 +523,25 @@ def accuracy_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = scored.filter(F.col("date") < F.to_date(ntz(v.ACTUAL_UNTIL)))
     # A second run that scores everything again, with another result.
     again = scored.withColumn("forecast", F.col("forecast") + 1)
-    return comparable(old.unionByName(ignore_merge(old, again)))
+    root = scratch_path(spark, "store")
+    for part in (old, again):
+        batch = staged(part, "scores")
+        commits.attempt(spark, root, lambda t, batch=batch: commits.insert_ignore(t, "scores", batch))
+    return comparable(commits.read(spark, root, "scores", scored.schema))
+
+
+@query
+def compacted_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads committed in three parts, then merged by day, cut to the last 20 days, and read."""
+    loads = staged(v.slot_loads(spark, sf_dir).withColumn("date", F.to_date("datetime")), "loads")
+    root = scratch_path(spark, "store")
+    for i in range(3):
+        part = loads.where(F.pmod(F.xxhash64(*KEYS), F.lit(3)) == i)
+        commits.attempt(spark, root, lambda t, part=part: t.append("load", part))
+    commits.compact(spark, root, "load", loads.schema, folders=1)
+    commits.expire(spark, root, "load", "2024-01-10")
+    commits.clean(spark, root, keep=1, grace=0)
+    return comparable(commits.read(spark, root, "load", loads.schema).drop("date"))
 
 
 @query

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from slotcast.plans import accuracy, boosting, deviation, features, jobs, load, matrix, models, publish
 from slotcast.plans.weather import merge_weather
 from slotcast.registry.queries import REGISTRY
-from slotcast.schema import FORECAST, LOAD, WEATHER_COLUMNS, conform
+from slotcast.schema import ACCURACY, FORECAST, LOAD, WEATHER_COLUMNS, conform
 from slotcast.session import job_stages, shared_dir, staged
+from slotcast.sinks import commits
 from slotcast.sinks import tables as sinks
 from slotcast.sources import tables
 from slotcast.sources import views as v
@@ -378,14 +379,16 @@ def test_jobs_end_to_end(spark, series, folder):
     ]
     assert all(300 < r["forecast"] < 1700 for r in records.collect())
     assert forecast(as_of, known, jobs.stored_marker(spark, store)) is None
-    stored = spark.read.parquet(store.forecasts).count()
+    state = commits.manifest(spark, store.tables)
+    assert state.version == 1 and set(state.tables) == {jobs.FORECASTS, jobs.LATEST}
+    stored = commits.read(spark, store.tables, jobs.FORECASTS, FORECAST).count()
     history = sinks.newest_snapshot(spark, store.load)
     again = jobs.forecast_job(
         [tables.since(known, "2024-01-10 00:00:00")], [climate, climate.limit(0), ahead], nothing,
         store, as_of, start="2024-01-01 00:00:00", horizons=[4, 24], warm_floor=0, history=history,
     )
     assert {tuple(r) for r in again.collect()} == {tuple(r) for r in records.collect()}
-    assert spark.read.parquet(store.forecasts).count() == stored == 2
+    assert commits.read(spark, store.tables, jobs.FORECASTS, FORECAST).count() == stored == 2
     jobs.deviation_job(spark, store)
 
     demand = loads.select(
@@ -396,8 +399,12 @@ def test_jobs_end_to_end(spark, series, folder):
     )
     for _ in range(2):
         jobs.accuracy_job(demand, store, "2024-01-14 23:00:00")
-    scored = spark.read.parquet(store.accuracy)
+    scored = commits.read(spark, store.tables, jobs.SCORES, ACCURACY)
     assert scored.count() == 2 and scored.filter("mae > 0").count() == 2
+    jobs.upkeep_job(spark, store, "2024-01-14 23:00:00", days=30)
+    assert commits.read(spark, store.tables, jobs.SCORES, ACCURACY).count() == 2
+    jobs.upkeep_job(spark, store, "2024-02-14 23:00:00", days=30)
+    assert commits.read(spark, store.tables, jobs.SCORES, ACCURACY).count() == 0
 
 
 def test_every_revision_is_linked_to_the_one_before_it(spark):

@@ -361,6 +361,11 @@ FINAL = {
     FROM placed WHERE place <= 17""",
     "stream_slot_load": f"""
     {_series(LOAD, 'slots')}
+    WHERE datetime + INTERVAL '15 minutes'
+        <= (SELECT time_bucket(INTERVAL '1 millisecond', max(ts)) FROM obs) - INTERVAL '1 hour'""",
+    "stream_dense_slots": f"""
+    {_series(LOAD, "(SELECT * FROM (SELECT series_id, unnest(generate_series(min(datetime), " + ts(v.LAST_SLOT)
+        + ", INTERVAL '15 minutes')) AS datetime FROM slots GROUP BY series_id) LEFT JOIN slots USING (series_id, datetime))")}
     WHERE datetime + INTERVAL '15 minutes'
         <= (SELECT time_bucket(INTERVAL '1 millisecond', max(ts)) FROM obs) - INTERVAL '1 hour'""",
     "stream_dedup": f"""

@@ -30,7 +30,7 @@ from slotcast.session import scratch_path, staged
 from slotcast.sinks import commits
 from slotcast.sources import tables
 from slotcast.sources import views as v
-from slotcast.streaming import ingest
+from slotcast.streaming import ingest, slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -582,6 +582,15 @@ def stream_slot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_drained(ingest.stream_slot_mean(readings), "slots"))
 
 
+@query
+def stream_dense_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots without readings come out too, once the watermark has passed them."""
+    events = ingest.read_stream(spark, sf_dir, EVENTS, "events.parquet")
+    series = F.concat(F.lit("s"), F.floor(F.col("user_id") / 25).cast("string"))
+    readings = events.select(series.alias("series_id"), "ts", F.col("value").alias("mw"))
+    return comparable(_drained(slots.stream_dense_slots(readings), "dense-slots"))
+
+
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = ingest.read_stream(spark, sf_dir, EVENTS, "events.parquet")

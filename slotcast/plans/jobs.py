@@ -21,6 +21,7 @@ from slotcast.schema import ACCURACY, DEVIATION, FORECAST, FORECAST_LATEST
 from slotcast.session import job_stages, staged
 from slotcast.sinks import commits
 from slotcast.sinks import tables as sinks
+from slotcast.sinks.ordered import export_ordered
 from slotcast.sources.tables import RETENTION_DAYS, history_first, marker, since
 
 from . import accuracy, boosting, deviation, features, load, matrix, publish, weather
@@ -159,7 +160,7 @@ def forecast_job(
 
     commits.attempt(records.sparkSession, store.tables, publish_both)
     stamp = created.replace(" ", "T").replace(":", "")
-    sinks.export_csv(latest, f"{store.root}/export/csv/{stamp}")
+    export_ordered(latest, f"{store.root}/export/csv/{stamp}", [*KEYS, "date", "start_time", "horizon"])
     sinks.export_json(publish.payload_json(records, source), f"{store.root}/export/json/{stamp}")
     sinks.write_marker(marker(fresh), store.markers, stamp)
     return records

@@ -251,6 +251,9 @@ FINAL = {
     FROM fed""",
     "history_snapshot": f"{_series(LOAD, f'({REFRESHED})')} WHERE datetime < {TODAY}",
     "retained_load": f"{_series(LOAD, 'slots')} WHERE datetime >= {TODAY} - INTERVAL '20 days'",
+    "ordered_export": f"""
+    SELECT series_id, datetime, {cut('block_load')},
+        row_number() OVER (ORDER BY series_id, datetime) - 1 AS row_no FROM slots""",
     "compacted_retention": f"{_series(LOAD, 'slots')} WHERE datetime >= TIMESTAMP '2024-01-10'",
     "weather_priority_merge": _series(WEATHER_COLUMNS, "weather_merged"),
     "weather_scans": _weather_scans(),

@@ -27,7 +27,7 @@ from slotcast.operators.interpolate import upsample
 from slotcast.plans import accuracy, boosting, deviation, features, load, matrix, models, publish, ridge, weather
 from slotcast.schema import WEATHER_COLUMNS
 from slotcast.session import scratch_path, staged
-from slotcast.sinks import commits
+from slotcast.sinks import commits, ordered
 from slotcast.sources import tables
 from slotcast.sources import views as v
 from slotcast.streaming import ingest, slots
@@ -530,6 +530,15 @@ def accuracy_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(commits.read(spark, root, "scores", scored.schema))
 
 
+@query
+def ordered_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads exported as files in one order over all series, with row numbers, and read back."""
+    loads = v.slot_loads(spark, sf_dir)
+    path = scratch_path(spark, "export")
+    ordered.export_ordered(loads, path, [*KEYS, "datetime"], form="parquet")
+    return comparable(spark.read.parquet(path).drop(ordered.PART))
+
+
 @query
 def compacted_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads committed in three parts, then merged by day, cut to the last 20 days, and read."""

@@ -24,6 +24,7 @@ from .blocks import (
     drop_blocks,
     join_carry,
     over,
+    slot_index,
     with_blocks,
 )
 
@@ -67,9 +68,16 @@ def _distances(spec: Ewm, length: int) -> range:
 
 
 def _carries(
-    blocked: DataFrame, specs: Sequence[Ewm], keys: Sequence[str], length: int
+    blocked: DataFrame,
+    specs: Sequence[Ewm],
+    keys: Sequence[str],
+    length: int,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Per block: what the earlier blocks bring (sum, weight) and the value they hold."""
+    """Per block: what the earlier blocks bring (sum, weight) and the value they hold.
+
+    ``state`` (``ewm_state``) stands for all rows before the frame's.
+    """
     sums = []
     for i, spec in enumerate(specs):
         weight = _weight(spec, length)
@@ -87,11 +95,24 @@ def _carries(
             for d in _distances(spec, length)
         )
 
+    if state is not None:
+        ends = ends.join(state, list(keys), "left")
+
+    def stored(part: str, spec: Ewm) -> str:
+        if state is None:
+            return ""
+        aged = f"power({spec.decay!r}D, _blk * {length} - {spec.name}_last)"
+        return f" + coalesce({spec.name}_{part} * {aged}, 0D)"
+
     brought = ends.selectExpr(
         "*",
-        *[f"{earlier(f'_s{i}', spec)} as _bs{i}" for i, spec in enumerate(specs)],
-        *[f"{earlier(f'_w{i}', spec)} as _bw{i}" for i, spec in enumerate(specs)],
+        *[f"{earlier(f'_s{i}', spec)}{stored('sum', spec)} as _bs{i}" for i, spec in enumerate(specs)],
+        *[f"{earlier(f'_w{i}', spec)}{stored('weight', spec)} as _bw{i}" for i, spec in enumerate(specs)],
     )
+
+    def before(spec: Ewm) -> str:
+        return "" if state is None else f", {spec.name}_sum / {spec.name}_weight"
+
     # The last value of the nearest earlier block that has one, for holes beyond a block.
     held = over(keys, "_blk", "rows between unbounded preceding and 1 preceding")
     return brought.selectExpr(
@@ -103,15 +124,19 @@ def _carries(
             for expr in (
                 f"_bs{i}",
                 f"_bw{i}",
-                f"last(if(_w{i} > 0, (_s{i} + _bs{i}) / (_w{i} + _bw{i}), null), true) "
-                f"{held} as _hold{i}",
+                f"coalesce(last(if(_w{i} > 0, (_s{i} + _bs{i}) / (_w{i} + _bw{i}), null), true) "
+                f"{held}{before(specs[i])}) as _hold{i}",
             )
         ],
     )
 
 
 def ewm_blocked(
-    blocked: DataFrame, specs: Sequence[Ewm], keys: Sequence[str], length: int
+    blocked: DataFrame,
+    specs: Sequence[Ewm],
+    keys: Sequence[str],
+    length: int,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Means on a dense frame that already has ``_idx``/``_blk`` and no halo rows."""
     upto = over([*keys, "_blk"], "_idx")
@@ -123,7 +148,7 @@ def ewm_blocked(
             f"sum({weight}) {upto} as _rw{i}",
         ]
     summed = blocked.selectExpr("*", *running)
-    joined = join_carry(summed, _carries(blocked, specs, keys, length), keys)
+    joined = join_carry(summed, _carries(blocked, specs, keys, length, state), keys)
 
     def mean(i: int, name: str) -> str:
         total = f"(_rs{i} + coalesce(_bs{i}, 0D))"
@@ -142,8 +167,62 @@ def ewm_means(
     keys: Sequence[str] = KEYS,
     ts: str = "datetime",
     length: int | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Add exponentially weighted means on a dense 15-minute grid, unique per slot."""
+    """Add exponentially weighted means on a dense 15-minute grid, unique per slot.
+
+    With ``state``, ``df`` need only hold the slots after those the state sums up.
+    """
     size = length or block_length(specs)
     blocked = with_blocks(df, ts, length=size, keys=keys)
-    return drop_blocks(ewm_blocked(blocked, specs, keys, size))
+    return drop_blocks(ewm_blocked(blocked, specs, keys, size, state))
+
+
+def ewm_state(
+    df: DataFrame,
+    specs: Sequence[Ewm],
+    keys: Sequence[str] = KEYS,
+    ts: str = "datetime",
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """What later slots need of these: per series one row, whatever its length.
+
+    For each mean the number of the last known slot and, as seen from it, the weighted sum
+    and the weight. ``before`` is the state of all earlier rows; it is aged and added, so a
+    run reads only the slots since the last one.
+    """
+    numbered = df.select("*", slot_index(F.col(ts)).alias("_idx"))
+    last = {
+        spec.name: F.max(F.when(F.col(spec.column).isNotNull(), F.col("_idx"))).alias(f"{spec.name}_last")
+        for spec in specs
+    }
+    ends = numbered.groupBy(*keys).agg(*last.values())
+    placed = numbered.join(ends, list(keys))
+    sums = []
+    for spec in specs:
+        weight = F.when(
+            F.col(spec.column).isNotNull(), F.pow(F.lit(spec.decay), F.col(f"{spec.name}_last") - F.col("_idx"))
+        )
+        sums += [
+            F.any_value(f"{spec.name}_last").alias(f"{spec.name}_last"),
+            F.sum(F.col(spec.column) * weight).alias(f"{spec.name}_sum"),
+            F.sum(weight).alias(f"{spec.name}_weight"),
+        ]
+    new = placed.groupBy(*keys).agg(*sums)
+    if before is None:
+        return new
+    both = new.alias("n").join(before.alias("o"), list(keys), "full")
+    merged = []
+    for spec in specs:
+        final = F.greatest(f"n.{spec.name}_last", f"o.{spec.name}_last")
+        merged.append(final.alias(f"{spec.name}_last"))
+        for part in ("sum", "weight"):
+            aged = [
+                F.coalesce(
+                    F.col(f"{side}.{spec.name}_{part}") * F.pow(F.lit(spec.decay), final - F.col(f"{side}.{spec.name}_last")),
+                    F.lit(0.0),
+                )
+                for side in "no"
+            ]
+            merged.append(F.when(final.isNotNull(), aged[0] + aged[1]).alias(f"{spec.name}_{part}"))
+    return both.select(*keys, *merged)

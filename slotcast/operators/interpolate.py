@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotcast.functions.calendar import SLOT_MINUTES, micros
@@ -46,9 +46,16 @@ def _edges(blocked: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> D
 
 
 def interpolate_blocked(
-    blocked: DataFrame, columns: Sequence[str], keys: Sequence[str], ts: str = "datetime"
+    blocked: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str],
+    ts: str = "datetime",
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Interpolation on a frame that already has ``_blk`` and no halo rows."""
+    """Interpolation on a frame that already has ``_blk`` and no halo rows.
+
+    ``state`` (``known_points``) stands for all rows before the frame's.
+    """
     blocked = blocked.withColumn("_t", micros(F.col(ts)))
     # Looking ahead is looking back in descending order: a growing frame, not a shrinking one.
     upto, onward = over([*keys, "_blk"], "_t"), over([*keys, "_blk"], "_t desc")
@@ -56,9 +63,13 @@ def interpolate_blocked(
     for i, c in enumerate(columns):
         point = f"if({c} is null, null, struct(_t as t, {c} as v))"
         near += [f"last({point}, true) {upto} as _p{i}", f"last({point}, true) {onward} as _n{i}"]
-    joined = join_carry(
-        blocked.selectExpr("*", *near), _edges(blocked, columns, keys), keys
-    )
+    edges = _edges(blocked, columns, keys)
+    if state is not None:
+        points = [F.coalesce(f"_c{i}", f"{c}_point").alias(f"_c{i}") for i, c in enumerate(columns)]
+        edges = edges.join(state, list(keys), "left").select(
+            *keys, "_blk", *points, *[f"_d{i}" for i in range(len(columns))]
+        )
+    joined = join_carry(blocked.selectExpr("*", *near), edges, keys)
 
     def value(i: int, c: str) -> str:
         t0, v0 = f"coalesce(_p{i}, _c{i}).t", f"coalesce(_p{i}, _c{i}).v"
@@ -78,13 +89,38 @@ def interpolate_time(
     keys: Sequence[str] = KEYS,
     ts: str = "datetime",
     length: int = BLOCK_SLOTS,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Fill nulls linearly in elapsed time, rows regular or not, unique per time.
 
-    Trailing nulls take the last value, leading nulls stay.
+    Trailing nulls take the last value, leading nulls stay. With ``state``, ``df`` need only
+    hold the rows after those whose last known points the state keeps.
     """
     blocked = with_blocks(df, ts, length=length, keys=keys)
-    return drop_blocks(interpolate_blocked(blocked, columns, keys, ts)).select(*df.columns)
+    return drop_blocks(interpolate_blocked(blocked, columns, keys, ts, state)).select(*df.columns)
+
+
+def known_points(
+    df: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str] = KEYS,
+    ts: str = "datetime",
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """The last known point of each column, one row per series; ``before`` is older state."""
+    point = "struct<t:bigint,v:double>"
+
+    def last(c: str) -> Column:
+        known = F.when(F.col(c).isNotNull(), F.struct(micros(F.col(ts)).alias("t"), F.col(c).alias("v")).cast(point))
+        return F.max_by(known, F.when(F.col(c).isNotNull(), F.col(ts)))
+
+    new = df.groupBy(*keys).agg(*[last(c).alias(f"{c}_point") for c in columns])
+    if before is None:
+        return new
+    both = new.alias("n").join(before.alias("o"), list(keys), "full")
+    return both.select(
+        *keys, *[F.coalesce(f"n.{c}_point", f"o.{c}_point").alias(f"{c}_point") for c in columns]
+    )
 
 
 def upsample(

@@ -279,6 +279,9 @@ FINAL = {
     "optimised_weather": _series(WEATHER_COLUMNS, "live_weather"),
     "training_weather": _series(WEATHER_COLUMNS, "training_weather"),
     "ewm_load": _series((m.name for m in LOAD_MEANS), f"({weighted('load_slot', LOAD_MEANS)})"),
+    "ewm_load_resumed": _series((m.name for m in LOAD_MEANS), f"({weighted('load_slot', LOAD_MEANS)})")
+    + " WHERE datetime >= TIMESTAMP '2024-01-25'",
+    "time_interpolate_resumed": _series(LOAD, "load_filled") + " WHERE datetime >= TIMESTAMP '2024-01-25'",
     "ewm_weather": _series((m.name for m in WEATHER_MEANS), "framed_weather_means"),
     "comfort_indices": f"""
     SELECT series_id, datetime, {cut(HUMIDEX, 'humidex')}, {cut(RH, 'RH')},

@@ -20,10 +20,10 @@ from slotcast.functions.masks import (
 from slotcast.operators import windows
 from slotcast.operators.blocks import KEYS
 from slotcast.operators.dedup import latest_row, priority_union, union_distinct
-from slotcast.operators.ewm import ewm_means
+from slotcast.operators.ewm import ewm_means, ewm_state
 from slotcast.operators.fanout import fan_out
 from slotcast.operators.grid import fixed_grid, resample_mean
-from slotcast.operators.interpolate import upsample
+from slotcast.operators.interpolate import interpolate_time, known_points, upsample
 from slotcast.plans import accuracy, boosting, deviation, features, load, matrix, models, publish, ridge, weather
 from slotcast.schema import WEATHER_COLUMNS
 from slotcast.session import scratch_path, staged
@@ -271,6 +271,30 @@ def ewm_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_frame(spark, sf_dir).select(*KEYS, "datetime", *names))
 
 
+def _spans(df: DataFrame) -> list[DataFrame]:
+    """The rows of three runs: up to the 20th, up to the 25th, and since."""
+    cuts = [F.col("datetime") < ntz(t) for t in ("2024-01-20 00:00:00", "2024-01-25 00:00:00")]
+    return [df.filter(cuts[0]), df.filter(~cuts[0] & cuts[1]), df.filter(~cuts[1])]
+
+
+@query
+def ewm_load_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of the last days from a stored state and these days alone."""
+    first, second, recent = _spans(v.load_slot(spark, sf_dir))
+    state = staged(ewm_state(first, features.LOAD_MEANS), "ewm-state")
+    state = staged(ewm_state(second, features.LOAD_MEANS, before=state), "ewm-state")
+    return comparable(ewm_means(recent, features.LOAD_MEANS, state=state).drop("block_load"))
+
+
+@query
+def time_interpolate_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last days filled from stored last known points and these days alone."""
+    first, second, recent = _spans(v.load_slot(spark, sf_dir))
+    state = staged(known_points(first, ["block_load"]), "points")
+    state = staged(known_points(second, ["block_load"], before=state), "points")
+    return comparable(interpolate_time(recent, ["block_load"], state=state))
+
+
 @query
 def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = {f"avg_{n}": ("block_load", n) for n in accuracy.WINDOWS}

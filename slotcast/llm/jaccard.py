@@ -19,10 +19,11 @@ Documents with equal sets form one node first, so copies are never compared. Lin
 sought for components, not for their own sake: a pair inside a known component is not
 tested. Round 0 tests each node against one other that shares a signature with it, the one
 that shares the largest part of its signatures, which is nearest to what a group was copied
-from. Rounds 1 and 2 take the first and the first four nodes of each signature that still
-spans several components. What then still spans several is compared whole: its members are
+from. What then still spans several components is compared whole: a signature's members are
 dealt to bounded blocks, every pair of blocks in one task, and only pairs whose sketches
-allow a link leave the task to be verified. No candidate is capped, and a group of near
+allow a link leave the task to be verified. A first round lets out each member's nearest three
+partners, which joins most of a group; the signatures that had more are compared again with
+their new components, at last without any bound. No candidate is capped, and a group of near
 copies costs a few tests per copy.
 
 Defined cases: null and blank texts have an empty set, link with nothing and are their
@@ -54,6 +55,10 @@ from slotcast.session import job_stages
 FRAGMENTS = 16
 #: Members of a signature that meet in one task.
 BLOCK = 2048
+#: Partners of a member that one round verifies; the last round leaves none out.
+KEEPS = (3, 64, None)
+#: Entries of a comparison matrix, and pairs whose sketches are compared, at a time.
+MATRIX, PAIRS = 1 << 20, 1 << 14
 U64 = np.uint64
 
 
@@ -144,8 +149,9 @@ def node_of(grams: np.ndarray) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, words: int, keys: Sequence[str] = ()) -> DataFrame:
-    """(doc_id, *keys, n_shingles, node) of every row; ``node`` stands for the set, null if empty.
+    """(doc_id, *keys, n_shingles, node, odd) of every row.
 
+    ``node`` stands for the set and ``odd`` is its sketch; both are null if it is empty.
     ``keys`` are columns of long integers that go along.
     """
     names = ["doc_id", *keys, "n_shingles", "node"]
@@ -160,12 +166,13 @@ def document_sets(docs: DataFrame, words: int, keys: Sequence[str] = ()) -> Data
                     *kept,
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(nodes, pa.int64()),
+                    pa.array([odd_sketch(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                names,
+                [*names, "odd"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), *keys, "text").mapInArrow(
-        build, ", ".join(f"`{name}` long" for name in names)
+        build, ", ".join([*(f"`{name}` long" for name in names), "odd binary"])
     )
 
 
@@ -194,10 +201,10 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
 def odd_sketch(grams: np.ndarray) -> np.ndarray:
     """One bit per place for whether an odd number of n-grams falls there, as words of 64.
 
-    There are between 0.7 and 1.4 places per n-gram.
+    There are between one and two places per n-gram, 64 at least.
     The sketches of two sets differ in no more places than the sets differ in n-grams.
     """
-    places = max(64, 1 << (7 * len(grams) // 10).bit_length())
+    places = max(64, 1 << (len(grams) - 1).bit_length())
     counts = np.bincount((grams & U64(places - 1)).astype(np.int64), minlength=places)
     return np.packbits((counts & 1).astype(np.uint8)).view(U64)
 
@@ -216,8 +223,13 @@ def fewest_differences(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(halved(a, width) ^ halved(b, width)).sum())
 
 
-def _once_a_batch(docs: DataFrame, words: int, build_row, name: str, kind: str) -> DataFrame:
-    """(node, ``name``) of the sets of (text), those of copies once a batch."""
+def fragments_of(docs: DataFrame, words: int) -> DataFrame:
+    """(node, grams): each set's segments, six bytes of hash per n-gram; copies once a batch."""
+
+    def segments(grams: np.ndarray) -> list[bytes]:
+        low = grams.view(np.uint8).reshape(-1, 8)[:, :6]
+        edges = np.searchsorted(grams >> U64(60), np.arange(FRAGMENTS + 1, dtype=U64))
+        return [low[edges[f] : edges[f + 1]].tobytes() for f in range(FRAGMENTS)]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,36 +238,20 @@ def _once_a_batch(docs: DataFrame, words: int, build_row, name: str, kind: str)
                 grams = ngram_set(text, words)
                 node = int(node_of(grams).view(np.int64)[0])
                 if len(grams) and node not in rows:
-                    rows[node] = build_row(grams)
-            arrow = pa.list_(pa.binary()) if kind.startswith("array") else pa.binary()
+                    rows[node] = segments(grams)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), arrow)], ["node", name]
+                [pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.list_(pa.binary()))],
+                ["node", "grams"],
             )
 
-    return docs.select("text").mapInArrow(build, f"node long, {name} {kind}")
-
-
-def sketches_of(docs: DataFrame, words: int) -> DataFrame:
-    """(node, odd): the sketch of each set."""
-    return _once_a_batch(docs, words, lambda grams: odd_sketch(grams).tobytes(), "odd", "binary")
-
-
-def fragments_of(docs: DataFrame, words: int) -> DataFrame:
-    """(node, grams): each set's segments, six bytes of hash per n-gram."""
-
-    def segments(grams: np.ndarray) -> list[bytes]:
-        low = grams.view(np.uint8).reshape(-1, 8)[:, :6]
-        edges = np.searchsorted(grams >> U64(60), np.arange(FRAGMENTS + 1, dtype=U64))
-        return [low[edges[f] : edges[f + 1]].tobytes() for f in range(FRAGMENTS)]
-
-    return _once_a_batch(docs, words, segments, "grams", "array<binary>")
+    return docs.select("text").mapInArrow(build, "node long, grams array<binary>")
 
 
-def single_nodes(found: DataFrame, wanted: int, name: str) -> DataFrame:
+def single_nodes(found: DataFrame, wanted: int) -> DataFrame:
     """``found`` with one row per node; ids on several rows bring sets more than once."""
     if found.count() <= wanted:
         return found
-    return staged(found.groupBy("node").agg(F.first(name).alias(name)), f"single-{name}")
+    return staged(found.groupBy("node").agg(F.first("grams").alias("grams")), "single-sets")
 
 
 def six_bytes(raw: bytes) -> np.ndarray:
@@ -314,7 +310,7 @@ def linked(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, words: int, perc
         fragments_of(join_small(docs, wanted.select("doc_id"), ["doc_id"], "left_semi"), words),
         "fitting-sets",
     )
-    sets = single_nodes(fetched, wanted.count(), "grams")
+    sets = single_nodes(fetched, wanted.count())
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
     part = fitting.join(left, "a").join(right, "b").withColumn("parts", partial_overlaps("ga", "gb"))
@@ -327,13 +323,8 @@ def ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def open_signatures(
-    shared: DataFrame, near: DataFrame, links: DataFrame, done: int
-) -> tuple[DataFrame, DataFrame]:
-    """The members (sig, node, comp) of signatures that span components, and (sig, members).
-
-    Signatures of at most ``done`` members have had all their pairs tested.
-    """
+def open_signatures(shared: DataFrame, near: DataFrame, links: DataFrame) -> DataFrame:
+    """(sig, node, comp, members) of the signatures in ``shared`` that span components."""
     labels = staged(
         near.select("node").join(connected_components(links), "node", "left").select(
             "node", F.coalesce("component", "node").alias("comp")
@@ -341,52 +332,68 @@ def open_signatures(
         "labels",
     )
     placed = shared.select("sig", "node").join(labels, "node")
-    spans = staged(
-        placed.groupBy("sig")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members"))
-        .where((F.col("lo") != F.col("hi")) & (F.col("members") > done))
-        .select("sig", "members"),
-        "spans",
-    )
-    members = placed.join(spans.select("sig"), "sig").select("sig", "node", "comp")
-    return staged(members, "open-signatures"), spans
+    spans = placed.groupBy("sig").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")
+    ).where("lo <> hi")
+    return staged(placed.join(spans.select("sig", "members"), "sig"), "open-signatures")
+
 
+def survivors(table: pa.Table, percent: int, keep: int | None) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places of pairs of a block that differ in component and may link, by size and sketch.
 
-def survivors(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of a block that differ in component and may link, by size and sketch."""
+    Each member gives the ``keep`` partners whose sketches are nearest; the last value says
+    whether there were more.
+    """
     comp, n, side = (table[c].to_numpy() for c in ("comp", "n", "side"))
     odd = [np.frombuffer(x, U64) for x in table["odd"].to_pylist()]
     width = np.array([len(x) for x in odd])
-    first, second = [], []
+    both_sides = bool(side.any())
+    first, second, more = [], [], False
     for w in np.unique(width):
         at = np.flatnonzero(width >= w)
         folded = np.stack([halved(odd[i], w) for i in at])
-        for i in np.flatnonzero(width[at] == w):
+        wider, place = width[at] > w, np.arange(len(at))
+        mine = np.flatnonzero(~wider)
+        step = max(1, MATRIX // len(at))
+        for rows in (mine[i : i + step] for i in range(0, len(mine), step)):
+            me, them = at[rows][:, None], at[None, :]
             # pairs of one width are met once, in their order; others from the narrower side
-            other = np.flatnonzero((width[at] > w) | (np.arange(len(at)) > i))
-            me, them = at[i], at[other]
-            ok = (comp[them] != comp[me]) & (
-                100 * np.minimum(n[them], n[me]) >= percent * np.maximum(n[them], n[me])
+            ok = (wider[None, :] | (place[None, :] > rows[:, None])) & (comp[me] != comp[them])
+            ok &= 100 * np.minimum(n[me], n[them]) >= percent * np.maximum(n[me], n[them])
+            if both_sides:
+                ok &= side[me] != side[them]
+            i, j = np.nonzero(ok)
+            fewest = np.concatenate(
+                [np.zeros(0, np.int64)]
+                + [
+                    np.bitwise_count(folded[rows[i[k : k + PAIRS]]] ^ folded[j[k : k + PAIRS]]).sum(axis=1)
+                    for k in range(0, len(i), PAIRS)
+                ]
             )
-            if side.any():
-                ok &= side[them] != side[me]
-            other, them = other[ok], them[ok]
-            fewest = np.bitwise_count(folded[other] ^ folded[i]).sum(axis=1)
-            fits = (100 + percent) * fewest <= (100 - percent) * (n[them] + n[me])
-            second.append(them[fits])
-            first.append(np.full(int(fits.sum()), me))
+            i, j = rows[i], j
+            fits = (100 + percent) * fewest <= (100 - percent) * (n[at[i]] + n[at[j]])
+            i, j, fewest = i[fits], j[fits], fewest[fits]
+            if keep is not None and len(i):
+                order = np.lexsort((j, fewest, i))
+                i, j = i[order], j[order]
+                starts = np.flatnonzero(np.diff(i, prepend=-1))
+                rank = np.arange(len(i)) - np.repeat(starts, np.diff(np.append(starts, len(i))))
+                more = more or bool((rank >= keep).any())
+                i, j = i[rank < keep], j[rank < keep]
+            first.append(at[i])
+            second.append(at[j])
     empty = np.zeros(0, np.int64)
-    return np.concatenate([empty, *first]), np.concatenate([empty, *second])
+    return np.concatenate([empty, *first]), np.concatenate([empty, *second]), more
 
 
-def block_pairs(members: DataFrame, spans: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """(a, b), repeated: pairs of a signature that may link, from (sig, node, comp, n, odd).
+def block_pairs(members: DataFrame, percent: int, keep: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of a signature that may link, from (sig, node, comp, members, n, odd).
 
     A signature's members are dealt to blocks by hash, and every pair of blocks is compared
-    in one task. Only what survives leaves it.
+    in one task. Only what survives leaves it, and of that only the nearest ``keep`` of each
+    member; a row (null, null, sig) names a signature that has more. Pairs may repeat.
     """
-    blocks = F.ceil(F.col("members") / (block * 0.8)).cast("int")
-    dealt = members.join(spans.select("sig", blocks.alias("blocks")), "sig").withColumn(
+    dealt = members.withColumn("blocks", F.ceil(F.col("members") / (block * 0.8)).cast("int")).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -401,9 +408,13 @@ def block_pairs(members: DataFrame, spans: DataFrame, percent: int, block: int =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(table: pa.Table) -> pa.RecordBatch:
             node = table["node"].to_numpy()
-            i, j = survivors(table, percent)
-            ends = [np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["a", "b"])
+            i, j, more = survivors(table, percent, keep)
+            a, b = (pa.array(end(node[i], node[j])) for end in (np.minimum, np.maximum))
+            sig = pa.nulls(len(a), pa.int64())
+            if more:
+                a, b = (pa.concat_arrays([x, pa.nulls(1, pa.int64())]) for x in (a, b))
+                sig = pa.concat_arrays([sig, pa.array([table["sig"][0].as_py()], pa.int64())])
+            return pa.RecordBatch.from_arrays([a, b, sig], ["a", "b", "sig"])
 
         rest = None
         for batch in batches:
@@ -419,7 +430,7 @@ def block_pairs(members: DataFrame, spans: DataFrame, percent: int, block: int =
             yield pairs(rest)
 
     placed = met.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi")
-    return placed.mapInArrow(work, "a long, b long")
+    return placed.mapInArrow(work, "a long, b long, sig long")
 
 
 def jaccard_groups(
@@ -448,17 +459,14 @@ def jaccard_groups(
         samples = staged(
             join_small(sets.where("node is not null"), near.select("node"), ["node"], "left_semi")
             .groupBy("node")
-            .agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id")),
+            .agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.first("odd").alias("odd")),
             "near-samples",
         )
         texts = docs.select("doc_id", "text")
-        sketched = staged(
-            sketches_of(join_small(texts, samples.select("doc_id"), ["doc_id"], "left_semi"), words), "sketches"
-        )
         sizes = staged(
-            samples.join(single_nodes(sketched, samples.count(), "odd"), "node")
-            .join(near, "node")
-            .select("node", "n", "doc_id", "odd", (-F.col("sigs") / F.col("n")).alias("apart")),
+            samples.join(near, "node").select(
+                "node", "n", "doc_id", "odd", (-F.col("sigs") / F.col("n")).alias("apart")
+            ),
             "near-sizes",
         )
         # signatures of the same sets ask the same question; one of them stays
@@ -479,36 +487,18 @@ def jaccard_groups(
             stars.select(*ordered(F.col("lead.node"), F.col("node"))).distinct(), "tested"
         )
         links = staged(linked(tested, sizes, texts, words, percent), "links")
-        for leaders in (1, 4):
-            shared, spans = open_signatures(shared, near, links, done=leaders // 4)
+        for keep in KEEPS:
+            shared = open_signatures(shared, near, links)
             if shared.isEmpty():
                 break
-            members = shared.join(sizes.select("node", "n", "apart"), "node")
-            rank = F.row_number().over(by_sig.orderBy("apart", "node"))
-            heads = members.withColumn("rank", rank).where(F.col("rank") <= leaders).select(
-                "sig", F.col("node").alias("head"), F.col("comp").alias("head_comp"),
-                F.col("n").alias("head_n"),
-            )
-            alike = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
+            found = staged(block_pairs(shared.join(sizes.select("node", "n", "odd"), "node"), percent, keep), "found")
             pairs = staged(
-                members.join(heads, "sig")
-                .where((F.col("comp") != F.col("head_comp")) & alike)
-                .select(*ordered(F.col("head"), F.col("node")))
-                .distinct()
-                .join(tested, ["a", "b"], "left_anti"),
+                found.where("a is not null").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"),
                 "pairs",
             )
             tested = staged(tested.union(pairs), "tested")
             links = staged(links.union(linked(pairs, sizes, texts, words, percent)), "links")
-        shared, spans = open_signatures(shared, near, links, done=4)
-        if not shared.isEmpty():
-            pairs = staged(
-                block_pairs(shared.join(sizes.select("node", "n", "odd"), "node"), spans, percent)
-                .distinct()
-                .join(tested, ["a", "b"], "left_anti"),
-                "pairs",
-            )
-            links = staged(links.union(linked(pairs, sizes, texts, words, percent)), "links")
+            shared = shared.join(found.where("a is null").select("sig").distinct(), "sig", "left_semi")
         roots = connected_components(links)
         groups = sets.join(roots, "node", "left").select(
             "doc_id", *keys, "n_shingles", F.coalesce("component", "node").alias("comp")

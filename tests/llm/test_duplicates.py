@@ -257,8 +257,12 @@ def test_blocks_of_a_signature_lose_no_pair(spark, block):
         for sig in {node % 3, 3 + node % 2}:
             rows.append((sig, node, node % 4, len(sets[node]), bytearray(jaccard.odd_sketch(sets[node]).tobytes())))
     members = spark.createDataFrame(rows, "sig long, node long, comp long, n long, odd binary")
-    spans = members.groupBy("sig").count().withColumnRenamed("count", "members")
-    have = {(r.a, r.b) for r in jaccard.block_pairs(members, spans, 80, block).collect()}
+    members = members.join(members.groupBy("sig").agg(F.count("*").alias("members")), "sig")
+    found = jaccard.block_pairs(members, 80, None, block)
+    have = {(r.a, r.b) for r in found.collect()}
+    nearest = jaccard.block_pairs(members, 80, 1, block).collect()
+    assert found.where("sig is not null").isEmpty() and any(r.sig is not None for r in nearest)
+    assert {(r.a, r.b) for r in nearest if r.sig is None} < have
     for a, b in itertools.combinations(range(40), 2):
         meet = (a - b) % 3 == 0 or (a - b) % 2 == 0
         common = len(np.intersect1d(sets[a], sets[b]))

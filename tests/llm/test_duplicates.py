@@ -191,7 +191,8 @@ def test_recall_of_the_pivot_index(spark):
     links = brute_links(rows)
     bad = [(900, None), (901, []), (902, [0.0] * 32), (903, [float("nan")] * 32), (904, [None] + [1.0] * 31), (905, [1.0] * 7)]
     frame = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>")
-    have = {r.vec_id: r for r in neighbours.near_duplicates(frame.withColumn("unit", F.lit(1)), block=64).collect()}
+    index = neighbours.near_duplicates(frame.withColumn("unit", F.lit(1)), block=64, single=0)
+    have = {r.vec_id: r for r in index.collect()}
     found = sum(r.n_links for r in have.values()) / 2
     assert 0.9 * len(links) <= found <= len(links)
     want = least_reached(range(len(rows)), links)
@@ -271,3 +272,46 @@ def test_blocks_of_a_signature_lose_no_pair(spark, block):
             assert (a, b) in have
         if not meet or a % 4 == b % 4:
             assert (a, b) not in have
+
+
+def planted(n, pairs, length, seed):
+    """Random directions, the first ``pairs`` of them with a partner at cosine 0.90 to 0.95."""
+    rng = np.random.default_rng(seed)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    a = unit(rng.normal(size=(n, length)))
+    cosine = rng.uniform(0.901, 0.95, (pairs, 1))
+    other = rng.normal(size=(pairs, length))
+    other = unit(other - (other * a[:pairs]).sum(axis=1, keepdims=True) * a[:pairs])
+    return np.concatenate([a, cosine * a[:pairs] + np.sqrt(1 - cosine**2) * other])
+
+
+def test_thousands_of_pairs_at_the_threshold(spark):
+    vectors = planted(9000, 3000, 64, 3)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)
+    have = {r.vec_id: r for r in neighbours.near_duplicates(frame).collect()}
+    found = sum(have[9000 + i].component_id == i for i in range(3000))
+    assert found >= 0.97 * 3000
+    assert all(have[i].n_links == 0 for i in range(3000, 9000))
+
+
+@pytest.mark.parametrize("count", [256, 1024, 4096, 16384])
+def test_permutations_keep_recall_as_pivots_grow(count):
+    vectors, n = planted(1200, 1200, 64, count), neighbours.nearest_of(count)
+    pivots = np.random.default_rng(1).normal(size=(count, 64))
+    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+    order = np.argsort(-(vectors @ pivots.T), axis=1)[:, :n]
+    shared = [len(np.intersect1d(order[i], order[1200 + i])) for i in range(1200)]
+    assert np.mean(np.array(shared) >= neighbours.SHARED) >= 0.97
+
+
+def test_vectors_link_within_their_own_length(spark):
+    rows = [(1, [1.0, 2.0]), (2, [2.0, 4.0]), (3, [1.0, 2.0, 3.0]), (4, [1.0, 2.0, 3.1]), (5, [9.0, -1.0, 0.0]),
+            (6, [3.0]), (7, [5.0]), (8, [-1.0]), (9, None), (10, [])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for single in (0, 1024):
+        have = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(frame, single=single).collect()}
+        assert have == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9), 10: (0, 10)}

@@ -448,15 +448,15 @@ def ridge_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def gbt_forecast_3_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All horizons' trees of the first three rounds, grown together, per series.
+def gbt_forecast_2_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All horizons' trees of the first two rounds, grown together, per series.
 
     Depth, step, regularisation and bagging are those of the setting table; its 700 to 1,300
     rounds are the default of ``boosting.train`` and of ``train_job``, and take hours here.
     """
     frame = staged(_frame(spark, sf_dir), "frame")
     training = staged(matrix.horizon_matrix(frame, before=v.AS_OF), "matrix")
-    models_ = boosting.train(training, rounds=3)
+    models_ = boosting.train(training, rounds=2)
     recent = matrix.horizon_matrix(frame, with_target=False, after="2024-01-29 00:00:00")
     predictions = boosting.forecast(publish.newest_origins(recent, v.AS_OF), models_)
     return publish.forecast_records(

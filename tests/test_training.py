@@ -114,8 +114,8 @@ def test_gbt_forecast_trains_all_horizons_with_the_settings_of_the_table(spark,
     monkeypatch.setattr(matrix, "horizon_matrix", horizon_matrix)
     monkeypatch.setattr(boosting, "train", train)
     monkeypatch.setattr(boosting, "forecast", forecast)
-    queries.REGISTRY["gbt_forecast_3_rounds"](spark, sf_dir)
-    assert asked == {"matrix": [every, every], "by": ("series_id",), "growth": boosting.GROWTH, "rounds": 3}
+    queries.REGISTRY["gbt_forecast_2_rounds"](spark, sf_dir)
+    assert asked == {"matrix": [every, every], "by": ("series_id",), "growth": boosting.GROWTH, "rounds": 2}
 
 
 def test_settings_cover_every_horizon_once():

@@ -314,8 +314,9 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     once = cut.select("_id", "_hash", "_cut.*").dropDuplicates(["_id", "_hash"])
     names = {"_id": fresh("_id", docs.columns), "_hash": fresh("_hash", docs.columns)}
     keyed = docs.withColumns({names[k]: c for k, c in key.items()})
-    same = F.col(names["_id"]).eqNullSafe(F.col("_id2")) & (F.col(names["_hash"]) == F.col("_hash2"))
-    right = once.withColumnsRenamed({"_id": "_id2", "_hash": "_hash2"})
+    side = {"_id": fresh("_id2", keyed.columns), "_hash": fresh("_hash2", keyed.columns)}
+    right = once.withColumnsRenamed(side)
+    same = F.col(names["_id"]).eqNullSafe(F.col(side["_id"])) & (F.col(names["_hash"]) == F.col(side["_hash"]))
     return keyed.join(right, same).select(*docs.columns, *RESULT.fieldNames())
 
 

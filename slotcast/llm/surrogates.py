@@ -306,15 +306,18 @@ def replace_entities(docs: DataFrame, key: str = KEY) -> DataFrame:
         .groupBy("_i", "_h")
         .agg(F.sort_array(F.collect_set(F.struct("_at", "_put", "_hit"))).alias("_puts"))
     )
-    same = F.col(id_).eqNullSafe(F.col("_i")) & (F.col(hash_) == F.col("_h"))
+    side = {x: fresh(x, keyed.columns) for x in ("_i", "_h", "_puts")}
+    put = put.withColumnsRenamed(side)
+    same = F.col(id_).eqNullSafe(F.col(side["_i"])) & (F.col(hash_) == F.col(side["_h"]))
+    puts = F.col(side["_puts"])
     replaced = keyed.join(put, same).withColumn(
         new,
         F.array_join(
-            F.zip_with(pieces, F.col("_puts._put"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
+            F.zip_with(pieces, puts["_put"], lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
         ),
     )
     columns = [F.col(new).alias("text") if c == "text" else F.col(c) for c in docs.columns]
     none = F.lit(0).cast("long").alias("n_entities")
-    count = F.size(F.filter("_puts", lambda x: x["_hit"])).cast("long").alias("n_entities")
+    count = F.size(F.filter(puts, lambda x: x["_hit"])).cast("long").alias("n_entities")
     untouched = marked.where(F.size(found) == 0).select(*docs.columns, none)
     return untouched.union(replaced.select(*columns, count))

@@ -315,3 +315,13 @@ def test_vectors_link_within_their_own_length(spark):
     for single in (0, 1024):
         have = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(frame, single=single).collect()}
         assert have == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8), 9: (0, 9), 10: (0, 10)}
+
+
+def test_helper_columns_of_substrings_clash_with_none(make_docs):
+    line = " ".join(f"w{i}" for i in range(50))
+    docs = make_docs([line + " a", line + " b", "c", None])
+    want = sorted(tuple(r) for r in substrings.remove_repeats(docs).select("doc_id", "n_removed").collect())
+    odd = docs.selectExpr("*", *[f"{i} as {c}" for i, c in enumerate(["_id", "_hash", "_id2", "_hash2", "_cut", "_spans", "start", "stop"])])
+    have = substrings.remove_repeats(odd)
+    assert sorted(tuple(r) for r in have.select("doc_id", "n_removed").collect()) == want
+    assert have.where("_id2 = 2 and stop = 7").count() == 4

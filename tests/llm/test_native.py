@@ -250,3 +250,13 @@ def test_many_sources_are_ranked_as_in_one_list(spark, seed):
     for n in names:
         want = 6 * sizes[n] if n in capped else level * weight[n]
         assert have[n][0] == 2 * sizes[n] and have[n][1] == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+def test_helper_columns_of_surrogates_clash_with_none(make_docs):
+    docs = make_docs(["mail a.b@c.example to me", "nothing", None])
+    want = sorted((r.doc_id, str(r.text)) for r in surrogates.replace_entities(docs).collect())
+    odd = docs.selectExpr("*", *[f"{i} as {c}" for i, c in enumerate(
+        ["_i", "_h", "_puts", "_put", "_hit", "_at", "_found", "_id", "_hash", "_new", "mention", "kind", "value", "surrogate"])])
+    have = surrogates.replace_entities(odd)
+    assert sorted((r.doc_id, str(r.text)) for r in have.collect()) == want
+    assert have.columns == [*odd.columns, "n_entities"] and have.where("_i = 0 and surrogate = 13").count() == 3

@@ -151,3 +151,25 @@ def test_url_edges(spark):
         out = urls.filter_urls(pages.withColumn("host", F.lit("clash")), labelled=spark.createDataFrame(rows, kind))
         assert {r.verdict for r in out.collect()} == {verdict}
     assert urls.filter_urls(pages.limit(0)).count() == 0
+
+
+def test_query_equals_plain_rules_on_all_pages(spark, sf_dir):
+    """Host, path, rule and ruled verdicts by plain Python; other verdicts follow the score."""
+    rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url").collect()}
+    have = queries.QUERIES["op5_url_filter"](spark, sf_dir).collect()
+    assert len(have) == len(pages)
+    ruled = 0
+    for r in have:
+        url = pages[r.page_id] or ""
+        rest = url.split("://", 1)[1] if "://" in url else ""
+        host = re.split("[/?#]", rest, maxsplit=1)[0]
+        path = re.split("[?#]", rest[len(host):], maxsplit=1)[0]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+        fits = [x for x in rules if (host == x[0] or host.endswith("." + x[0])) and path.startswith(x[1])]
+        best = max(fits, key=lambda x: len(x[0] + x[1]), default=None)
+        assert (r.host, r.path, r.rule) == (host, path, best[0] + best[1] if best else None)
+        assert r.verdict == (best[2] if best else "block" if r.score >= 0.5 else "allow")
+        ruled += best is not None
+    assert 0 < ruled < len(have)

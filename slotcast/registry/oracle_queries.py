@@ -378,4 +378,9 @@ FINAL = {
     SELECT event_id, ts, user_id, event_type, {cut('value')} FROM events""",
 }
 
+FINAL |= {
+    "payload_records": FINAL["forecast_payload"],
+    "newest_stored_snapshot": FINAL["history_snapshot"],
+    "appended_deviations": FINAL["deviation_history"],
+}
 ORACLES = {name: compose(sql, {**EXTRA, **RIDGE}) for name, sql in FINAL.items()}

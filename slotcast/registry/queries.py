@@ -28,6 +28,7 @@ from slotcast.plans import accuracy, boosting, deviation, features, load, matrix
 from slotcast.schema import WEATHER_COLUMNS
 from slotcast.session import scratch_path, staged
 from slotcast.sinks import commits, ordered
+from slotcast.sinks import tables as sinks
 from slotcast.sources import tables
 from slotcast.sources import views as v
 from slotcast.streaming import ingest, slots
@@ -587,6 +588,41 @@ def forecast_payload_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.payload_json(v.forecast_live(spark, sf_dir), "load")
 
 
+@query
+def payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported JSON, read again record by record."""
+    sent = publish.payload_json(v.forecast_live(spark, sf_dir), "load")
+    record = (
+        "array<struct<date:string,start_time:string,end_time:string,source:string,"
+        "forecast:double,version:string,horizon:int,revision:int>>"
+    )
+    return comparable(sent.select(*KEYS, F.inline(F.from_json("data", record))))
+
+
+@query
+def newest_stored_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of the history are written; the newest is read."""
+    history = staged(load.snapshot(_refreshed(spark, sf_dir), v.AS_OF), "history")
+    root = scratch_path(spark, "snapshots")
+    older = history.filter(F.col("datetime") < ntz(v.ACTUAL_UNTIL))
+    sinks.write_snapshot(older, root, "2024-01-29")
+    sinks.write_snapshot(history, root, "2024-01-30")
+    sinks.write_snapshot(older, root, "2024-01-28")
+    return comparable(sinks.newest_snapshot(spark, root))
+
+
+@query
+def appended_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes between revisions, appended run by run and read as one table."""
+    stored = staged(v.forecast_revisions(spark, sf_dir), "revisions")
+    changes = staged(deviation.deviation_history(stored), "changes")
+    path = scratch_path(spark, "deviations")
+    early = F.col("created_at") < ntz(v.ACTUAL_UNTIL)
+    sinks.append(changes.filter(early), path)
+    sinks.append(changes.filter(~early), path)
+    return comparable(spark.read.schema(changes.schema).parquet(path))
+
+
 # --- streams -------------------------------------------------------------------------
 
 EVENTS = T.StructType(

@@ -269,6 +269,14 @@ FINAL = {
         'hour_mean')}
     FROM load_slot""",
     "ramps": _ramps(),
+    "corrected_seasonal_mean": f"""
+    SELECT series_id, datetime, {cut('block_load')}, {cut('load_stb')} FROM (
+        SELECT *, (lag(block_load, 96) OVER s + lag(block_load, 97) OVER s
+            + lag(block_load, 95) OVER s) / 3 AS load_stb
+        FROM (SELECT series_id, datetime, block_load + CASE
+            WHEN datetime >= TIMESTAMP '2024-01-11 01:00:00' AND datetime < TIMESTAMP '2024-01-11 03:00:00'
+            THEN 5 ELSE 0 END AS block_load FROM load_filled)
+        WINDOW s AS (PARTITION BY series_id ORDER BY datetime))""",
     "lead_features": f"""
     SELECT series_id, datetime, {cut('lead(apparent_temperature, 4) OVER s', 'apptem_ahead_1h')}
     FROM training_weather {BY_TIME}""",

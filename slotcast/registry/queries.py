@@ -17,7 +17,7 @@ from slotcast.functions.masks import (
     cascade_mask,
     plausible_load,
 )
-from slotcast.operators import windows
+from slotcast.operators import dirty, windows
 from slotcast.operators.blocks import KEYS
 from slotcast.operators.dedup import latest_row, priority_union, union_distinct
 from slotcast.operators.ewm import ewm_means, ewm_state
@@ -230,6 +230,21 @@ def ramps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(windows.ramps(v.load_slot(spark, sf_dir)).drop("block_load"))
 
 
+@query
+def corrected_seasonal_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day-before means after a correction of one night, only the blocks it reaches made anew."""
+    before = staged(v.load_filled(spark, sf_dir), "loads")
+    stored = staged(windows.seasonal_lag_mean(before), "means")
+    night = (F.col("datetime") >= ntz("2024-01-11 01:00:00")) & (F.col("datetime") < ntz("2024-01-11 03:00:00"))
+    value = F.when(night, F.col("block_load") + 5).otherwise(F.col("block_load"))
+    after = before.withColumn("block_load", value)
+    anew = dirty.rebuilt(
+        stored, after, before.filter(night).select(*KEYS, "datetime"), windows.seasonal_lag_mean,
+        back=max(windows.DAY_BEFORE_LAGS),
+    )
+    return comparable(anew)
+
+
 @query
 def lead_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = windows.shifted(

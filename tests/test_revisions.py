@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from datetime import datetime, timedelta
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from slotcast.plans import deviation
 from slotcast.registry.queries import REGISTRY
+from slotcast.session import shared_dir
 from slotcast.sources import views as v
 
 
@@ -76,3 +78,10 @@ def test_history_of_odd_revisions_equals_brute_force(spark):
     columns = ["series_id", "created_at", "start_time", "revision_no", "previous_revision_forecast"]
     have = got.select(*columns, "current_revision_forecast").collect()
     assert sorted(tuple(r) for r in have) == sorted(want) and len(want) > 30
+
+
+def test_appended_changes_are_stored_once(spark, sf_dir):
+    before = set(os.listdir(shared_dir(spark)))
+    assert REGISTRY["appended_deviations"](spark, sf_dir).count() > 0
+    left = set(os.listdir(shared_dir(spark))) - before
+    assert {name.split("-")[0] for name in left} == {"deviations"}
